@@ -95,7 +95,9 @@ def dashboard_frame(inp: DashboardInputs) -> DataFrame:
 def frame_view(inp: DashboardInputs) -> FrameView:
     """Row-weighted view: each weight is the number of frame rows."""
     d = inp.dim_apps.groupBy("app_id", "app_name").agg(_count("_n_dim"))
-    r = inp.reviews.groupBy("app_name").agg(_count("_n_any"))
+    s = _sentiment_counts(inp)
+    # per-name totals from the per-sentiment counts: one pass over the reviews
+    r = s.groupBy("app_name").agg(F.sum("_n_rev").alias("_n_any"))
     f = inp.fact.select("app_id", "category_id", F.col("app_price").alias("price"),
                         "average_user_rating", "total_installs")
     base = (f.join(d, "app_id").join(_categories(inp), "category_id")
@@ -105,7 +107,7 @@ def frame_view(inp: DashboardInputs) -> FrameView:
                        "total_installs",
                        (F.col("_w_app") * F.coalesce(F.col("_n_any"), F.lit(1))).alias("weight"))
     per_name = base.groupBy("app_name", "category_name").agg(F.sum("_w_app").alias("_m"))
-    sentiments = (per_name.join(_sentiment_counts(inp), "app_name")
+    sentiments = (per_name.join(s, "app_name")
                   .select("app_name", "category_name", "review_sentiment",
                           (F.col("_m") * F.col("_n_rev")).alias("weight")))
     return FrameView(apps, sentiments)
