@@ -30,7 +30,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     spark = build_session(
-        f"local[{cpus}]", app_name="storelens-bench", shuffle_partitions=2 * cpus,
+        f"local[{cpus}]", app_name="storelens-bench", shuffle_partitions=cpus,
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
 

@@ -22,4 +22,4 @@ def iso_date(c) -> Column:
 def parse_date(c, formats: Sequence[str] = ("yyyy-MM-dd", "MMMM d, yyyy")) -> Column:
     """First format that parses wins; NULL when none does."""
     c = col_of(c)
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])

@@ -6,6 +6,7 @@ from storelens.plans.dashboard import (
     app_view,
     category_list,
     dashboard_frame,
+    dashboard_panels,
     for_category,
     frame_view,
     kpis,
@@ -36,7 +37,7 @@ from storelens.plans.staging import stg_apps, stg_reviews
 
 __all__ = [
     "DashboardInputs", "FrameView", "app_view", "category_list", "clean_apps",
-    "clean_reviews", "dashboard_frame", "dim_apps", "dim_categories",
+    "clean_reviews", "dashboard_frame", "dashboard_panels", "dim_apps", "dim_categories",
     "example_filtered", "example_union", "fact_app_metrics",
     "fact_app_metrics_keyed", "for_category", "frame_view", "kpis",
     "rating_vs_installs", "rating_vs_installs_sample", "review_metrics",

@@ -60,6 +60,15 @@ class FrameView:
     apps: DataFrame        # app_name, category_name, price, average_user_rating, total_installs, weight
     sentiments: DataFrame  # app_name, category_name, review_sentiment, weight
 
+    def cache(self) -> "FrameView":
+        """Keep both (app-grain, small) views in executor memory while several
+        panels are computed from them; lost blocks are recomputed."""
+        return FrameView(self.apps.cache(), self.sentiments.cache())
+
+    def unpersist(self) -> None:
+        self.apps.unpersist()
+        self.sentiments.unpersist()
+
 
 def _count(name: str):
     return F.count(F.lit(1)).alias(name)
@@ -207,3 +216,16 @@ def category_list(v: FrameView) -> DataFrame:
     """Sorted distinct category names present in the frame."""
     return (v.apps.select("category_name").where(F.col("category_name").isNotNull())
             .distinct().orderBy("category_name"))
+
+
+def dashboard_panels(v: FrameView, category: str | None = None, n_top: int = 10,
+                     n_sample: int = 2000, seed: int = 0) -> dict[str, DataFrame]:
+    """Every panel of one dashboard refresh for a category selection: KPIs,
+    top-rated apps, the rating/installs sample and the sentiment shares.
+    Cache the view first (``v.cache()``) when all of them are evaluated."""
+    return {
+        "kpis": kpis(v, category),
+        "top_rated_apps": top_rated_apps(v, category, n_top),
+        "rating_vs_installs": rating_vs_installs_sample(v, category, n_sample, seed),
+        "sentiment_distribution": sentiment_distribution(v, category),
+    }

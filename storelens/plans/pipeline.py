@@ -9,7 +9,7 @@ parallelism.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from storelens.plans.ingest import clean_apps, clean_reviews
 from storelens.plans.marts import (
@@ -29,18 +29,26 @@ MODEL_ORDER = (
 
 
 def run_pipeline(raw_apps: DataFrame, raw_reviews: DataFrame, out_dir: str,
-                 fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Build every model; returns name -> DataFrame read from its table."""
+                 fmt: str = "parquet", report: dict[str, int] | None = None
+                 ) -> dict[str, DataFrame]:
+    """Build every model; returns name -> DataFrame read from its table.
+    ``report``, when given, receives the landed row counts, observed during
+    the landing writes (no extra pass)."""
     out = out_dir.rstrip("/")
     t: dict[str, DataFrame] = {}
+    obs = {"apps_landed": Observation("apps_landed"),
+           "reviews_landed": Observation("reviews_landed")}
 
     def put(name: str, df: DataFrame) -> DataFrame:
         t[name] = materialize(df, name, "table", path=f"{out}/{name}", fmt=fmt)
         return t[name]
 
     t["apps_landed"] = land_table(clean_apps(raw_apps), f"{out}/apps_landed",
-                                  schema=APPS_CLEAN, fmt=fmt)
-    t["reviews_landed"] = land_table(clean_reviews(raw_reviews), f"{out}/reviews_landed", fmt=fmt)
+                                  schema=APPS_CLEAN, fmt=fmt, observation=obs["apps_landed"])
+    t["reviews_landed"] = land_table(clean_reviews(raw_reviews), f"{out}/reviews_landed",
+                                     fmt=fmt, observation=obs["reviews_landed"])
+    if report is not None:
+        report.update({k: int(o.get["rows"]) for k, o in obs.items()})
     sa = put("stg_apps", stg_apps(t["apps_landed"]))
     sr = put("stg_reviews", stg_reviews(t["reviews_landed"]))
     da = put("dim_apps", dim_apps(sa))

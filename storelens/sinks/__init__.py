@@ -6,7 +6,7 @@ pure DataFrame -> DataFrame plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,13 +24,19 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
-               fmt: str = "parquet") -> DataFrame:
+               fmt: str = "parquet", observation: Observation | None = None) -> DataFrame:
     """Full-refresh landing: the target is replaced by exactly ``df``'s rows
     (an empty frame leaves an empty table, never the old rows).  ``target``
     is a path or a catalog table name.  Returns a fresh read of the target,
-    so later plans start from the written files, not the lineage."""
+    so later plans start from the written files, not the lineage.
+
+    With an ``observation``, the written row count is collected during the
+    write itself (``observation.get["rows"]``) — no second pass over the data.
+    """
     if schema is not None:
         df = conform(df, schema)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode("overwrite").format(fmt)
     spark = df.sparkSession
     if _is_path(target):
