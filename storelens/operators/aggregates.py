@@ -3,7 +3,7 @@ weighted means."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.text import col_of
@@ -20,10 +20,11 @@ def value_counts(df: DataFrame, column: str, weight: str | None = None,
 
 
 def with_share(grouped: DataFrame, count_col: str = "n", out: str = "share") -> DataFrame:
-    """Share of the total per row.  Only for an already grouped, small result
-    (the empty-partition window gathers its rows into one task)."""
-    total = F.sum(F.col(count_col)).over(Window.partitionBy())
-    return grouped.withColumn(out, F.col(count_col) / total)
+    """Share of the total per row.  The total is a lazy scalar subquery
+    (partial sums per task, one number back), so rows are never gathered
+    into one task and no cross join is planned."""
+    total = grouped.select(F.sum(F.col(count_col))).scalar()
+    return grouped.withColumn(out, F.try_divide(F.col(count_col), total))
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 20,
