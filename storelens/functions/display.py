@@ -2,35 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from storelens.functions.text import col_of
+from storelens.functions.sql import as_column
 
 # (divisor, suffix), largest first.
 COMPACT_UNITS = ((1_000_000_000, "B"), (1_000_000, "M"), (1_000, "K"))
 
 
-def _idiv(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b).cast("bigint"))
-
-
-def thousands(c) -> Column:
+def thousands_sql(x: str) -> str:
     """1234567 -> '1,234,567'."""
-    return F.format_number(col_of(c).cast("bigint"), 0)
+    return f"format_number(CAST({x} AS BIGINT), 0)"
 
 
-def compact_number(c) -> Column:
+def compact_number_sql(x: str) -> str:
     """Compact count text: >=1e9 'x.yB', >=1e6 'x.yM', >=1e3 'x.yK', else
     '1,234'-style.  The unit is chosen on the exact value, tenths are rounded
     half-up in integer arithmetic (no float formatting involved)."""
-    n = col_of(c).cast("bigint")
-    out = thousands(n)
-    for divisor, suffix in reversed(COMPACT_UNITS):
-        tenths = _idiv(n + F.lit(divisor // 20), divisor // 10)
-        text = F.concat(
-            _idiv(tenths, 10).cast("string"), F.lit("."),
-            F.pmod(tenths, F.lit(10)).cast("string"), F.lit(suffix),
-        )
-        out = F.when(n >= F.lit(divisor), text).otherwise(out)
-    return out
+    n = f"CAST({x} AS BIGINT)"
+    branches = []
+    for divisor, suffix in COMPACT_UNITS:
+        tenths = f"(({n} + {divisor // 20}L) div {divisor // 10}L)"
+        text = f"concat(CAST({tenths} div 10 AS STRING), '.', CAST(pmod({tenths}, 10) AS STRING), '{suffix}')"
+        branches.append(f"WHEN {n} >= {divisor}L THEN {text}")
+    return f"CASE {' '.join(branches)} ELSE {thousands_sql(n)} END"
+
+
+thousands = as_column(thousands_sql)
+compact_number = as_column(compact_number_sql)

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from storelens.functions.text import col_of
+from storelens.functions.sql import as_column, lit
 from storelens.sources.schemas import KEY_NULL
 
 
-def md5_key(*cols, sep: str = "", null: str = KEY_NULL) -> Column:
+def md5_key_sql(*xs: str, sep: str = "", null: str = KEY_NULL) -> str:
     """md5(coalesce(a,'_') || sep || coalesce(b,'_') ...).
 
     With the default ``sep=""`` keys match the warehouse's existing keys, which
     means ('ab','c') and ('a','bc') collide; pass a separator for new keys.
     """
-    parts = [F.coalesce(col_of(c).cast("string"), F.lit(null)) for c in cols]
-    joined = F.concat_ws(sep, *parts) if sep else F.concat(*parts)
-    return F.md5(joined)
+    parts = [f"coalesce(CAST({x} AS STRING), {lit(null)})" for x in xs]
+    joined = f"concat_ws({lit(sep)}, {', '.join(parts)})" if sep else f"concat({', '.join(parts)})"
+    return f"md5({joined})"
+
+
+md5_key = as_column(md5_key_sql)

@@ -1,4 +1,4 @@
-"""Text-to-number conversions, all Column -> Column (JVM-side, codegen'd).
+"""Text-to-number conversions (SQL templates + Column versions).
 
 Spark's ``try_cast`` accepts more than a plain decimal number ('19d' and '1f'
 are Java float literals, '2018' is a date); every cast here is guarded by an
@@ -7,10 +7,8 @@ explicit pattern so that only plain decimal numbers convert.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from storelens.functions.text import col_of, strip_ws
+from storelens.functions.sql import as_column, lit, regex
+from storelens.functions.text import strip_ws_sql
 
 # A plain decimal number with optional sign, fraction and exponent; blanks
 # around it are allowed.  'nan', 'inf', '1_000', '19d', '0x1A' do not match.
@@ -21,64 +19,72 @@ MB = 1024 * 1024
 KB = 1024
 
 
-def to_number(c) -> Column:
+def to_number_sql(x: str) -> str:
     """Double, or NULL when the text is not a plain number."""
-    c = col_of(c)
-    return F.when(c.rlike(NUMBER_RE), c.try_cast("double"))
+    return f"CASE WHEN {x} RLIKE {regex(NUMBER_RE)} THEN try_cast({x} AS DOUBLE) END"
 
 
-def nan_to_null(c) -> Column:
+def nan_to_null_sql(x: str) -> str:
     """NaN -> NULL on a double column."""
-    c = col_of(c)
-    return F.when(~F.isnan(c), c)
+    return f"CASE WHEN NOT isnan({x}) THEN {x} END"
 
 
-def installs_text(c) -> Column:
+def installs_text_sql(x: str) -> str:
     """Installs text with ',' and '+' removed and surrounding blanks stripped."""
-    return strip_ws(F.translate(col_of(c).cast("string"), ",+", ""))
+    return strip_ws_sql(f"translate(CAST({x} AS STRING), ',+', '')")
 
 
-def is_digits(c) -> Column:
-    return col_of(c).rlike(DIGITS_RE)
+def is_digits_sql(x: str) -> str:
+    return f"({x} RLIKE {regex(DIGITS_RE)})"
 
 
-def installs_to_long(c) -> Column:
+def installs_to_long_sql(x: str) -> str:
     """Cleaned installs text -> bigint (0 when it does not fit)."""
-    return F.coalesce(col_of(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return f"coalesce(try_cast({x} AS BIGINT), 0L)"
 
 
-def price_to_number(c) -> Column:
+def price_to_number_sql(x: str) -> str:
     """'$4.99' -> 4.99; anything that is not a number -> 0.0."""
-    cleaned = strip_ws(F.replace(col_of(c).cast("string"), F.lit("$"), F.lit("")))
-    return F.coalesce(to_number(cleaned), F.lit(0.0))
+    cleaned = strip_ws_sql(f"replace(CAST({x} AS STRING), '$', '')")
+    return f"coalesce({to_number_sql(cleaned)}, CAST(0.0 AS DOUBLE))"
 
 
-def size_to_bytes(c, varies: str = "Varies with device") -> Column:
+def size_to_bytes_sql(x: str, varies: str = "Varies with device") -> str:
     """'19M' -> 19 MiB, '8.5k' -> 8.5 KiB, anything else -> NULL.
 
     Suffixes are case-sensitive; every 'M' (or 'k') in the text is removed
     before the number is read.
     """
-    c = col_of(c)
-    return (
-        F.when(c == F.lit(varies), F.lit(None).cast("double"))
-        .when(c.like("%M"), to_number(F.replace(c, F.lit("M"), F.lit(""))) * F.lit(MB))
-        .when(c.like("%k"), to_number(F.replace(c, F.lit("k"), F.lit(""))) * F.lit(KB))
-        .otherwise(F.lit(None).cast("double"))
-    )
+    mega = to_number_sql(f"replace({x}, 'M', '')")
+    kilo = to_number_sql(f"replace({x}, 'k', '')")
+    return (f"CASE WHEN {x} = {lit(varies)} THEN CAST(NULL AS DOUBLE) "
+            f"WHEN {x} LIKE '%M' THEN {mega} * {MB} "
+            f"WHEN {x} LIKE '%k' THEN {kilo} * {KB} "
+            f"ELSE CAST(NULL AS DOUBLE) END")
 
 
-def text_score(c, null_token: str = "NULL") -> Column:
+def text_score_sql(x: str, null_token: str = "NULL") -> str:
     """Score stored as text: the NULL token and malformed text -> NULL."""
-    return to_number(F.nullif(col_of(c).cast("string"), F.lit(null_token)))
+    return to_number_sql(f"nullif(CAST({x} AS STRING), {lit(null_token)})")
 
 
-def bytes_to_mb(c) -> Column:
+def bytes_to_mb_sql(x: str) -> str:
     """Bytes -> MiB with a missing size counted as 0."""
-    return F.coalesce(col_of(c).cast("double"), F.lit(0.0)) / F.lit(float(MB))
+    return f"coalesce(CAST({x} AS DOUBLE), CAST(0.0 AS DOUBLE)) / CAST({MB} AS DOUBLE)"
+
+
+def number_or_zero_sql(x: str) -> str:
+    """Numeric value for plotting: non-numeric / missing text -> 0.0."""
+    return f"coalesce({to_number_sql(f'CAST({x} AS STRING)')}, CAST(0.0 AS DOUBLE))"
 
 
-def number_or_zero(c) -> Column:
-    """Numeric value for plotting: non-numeric / missing -> 0.0."""
-    c = col_of(c)
-    return F.coalesce(to_number(c.cast("string")), F.lit(0.0))
+to_number = as_column(to_number_sql)
+nan_to_null = as_column(nan_to_null_sql)
+installs_text = as_column(installs_text_sql)
+is_digits = as_column(is_digits_sql)
+installs_to_long = as_column(installs_to_long_sql)
+price_to_number = as_column(price_to_number_sql)
+size_to_bytes = as_column(size_to_bytes_sql)
+text_score = as_column(text_score_sql)
+bytes_to_mb = as_column(bytes_to_mb_sql)
+number_or_zero = as_column(number_or_zero_sql)

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from storelens.functions.text import col_of
+from storelens.functions.sql import as_column, lit
 from storelens.sources.schemas import SENTIMENT_SCORES
 
 
-def sentiment_score(c) -> Column:
+def sentiment_score_sql(x: str) -> str:
     """Case-insensitive label -> 1.0 / 0.5 / 0.0; unknown labels -> NULL.
     Scores are doubles (decimal literals would make ``avg`` a decimal)."""
-    low = F.lower(col_of(c))
-    out = None
-    for label, score in SENTIMENT_SCORES:
-        cond, val = low == F.lit(label), F.lit(float(score))
-        out = F.when(cond, val) if out is None else out.when(cond, val)
-    return out.otherwise(F.lit(None).cast("double"))
+    whens = " ".join(f"WHEN lower({x}) = {lit(label)} THEN {lit(float(score))}"
+                     for label, score in SENTIMENT_SCORES)
+    return f"CASE {whens} ELSE CAST(NULL AS DOUBLE) END"
+
+
+sentiment_score = as_column(sentiment_score_sql)

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from storelens.functions.sql import as_column, in_list, regex
 
 
-def col_of(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def strip_ws(c) -> Column:
+def strip_ws_sql(x: str) -> str:
     """Remove leading and trailing whitespace (blank, tab, newline, ...)."""
-    return F.regexp_replace(col_of(c), r"^\s+|\s+$", "")
+    return f"regexp_replace({x}, {regex(r'^\s+|\s+$')}, '')"
 
 
-def na_to_null(c, tokens: Iterable[str]) -> Column:
+def na_to_null_sql(x: str, tokens: Iterable[str]) -> str:
     """NULL when the whole field equals one of the missing-value tokens."""
-    c = col_of(c)
-    return F.when(~c.isin(list(tokens)), c)
+    return f"CASE WHEN {x} IN {in_list(tokens)} THEN NULL ELSE {x} END"
+
+
+strip_ws = as_column(strip_ws_sql)
+na_to_null = as_column(na_to_null_sql)

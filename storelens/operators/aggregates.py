@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions.text import col_of
+from storelens.functions.sql import ident
 
 
 def value_counts(df: DataFrame, column: str, weight: str | None = None,
@@ -35,30 +35,23 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 20,
 
     For [0, 1] the arithmetic reduces exactly to ``floor(x * bins)`` and
     ``bin / bins``, so edges are not accumulated sums of a rounded width."""
-    x = F.col(column)
-    span = F.lit(float(hi - lo))
-    scaled = (x - F.lit(float(lo))) / span * F.lit(bins)
-    b = F.greatest(F.least(F.floor(scaled), F.lit(bins - 1).cast("bigint")),
-                   F.lit(0).cast("bigint"))
+    x, span, base = ident(column), f"CAST({float(hi - lo)!r} AS DOUBLE)", f"CAST({float(lo)!r} AS DOUBLE)"
+    b = f"greatest(least(floor(({x} - {base}) / {span} * {bins}), {bins - 1}L), 0L)"
+    return (df.where(f"{x} IS NOT NULL")
+            .groupBy(F.expr(b).alias("bin"))
+            .agg(F.expr("count(1)").alias("n"))
+            .selectExpr("bin", f"{base} + bin * {span} / {bins} AS bin_start",
+                        f"{base} + (bin + 1) * {span} / {bins} AS bin_end", "n"))
 
-    def edge(k: Column) -> Column:
-        return F.lit(float(lo)) + k * span / F.lit(bins)
 
-    return (df.where(x.isNotNull())
-            .groupBy(b.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("bin", edge(F.col("bin")).alias("bin_start"),
-                    edge(F.col("bin") + 1).alias("bin_end"), "n"))
-
-
-def weighted_mean(value, weight) -> Column:
+def weighted_mean(value: str, weight: str) -> Column:
     """sum(value * weight) / sum(weight where value is not NULL) — the mean
     over ``weight`` copies of each row, computed without the copies."""
-    v, w = col_of(value), col_of(weight)
-    return F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w)))
+    v, w = ident(value), ident(weight)
+    return F.expr(f"try_divide(sum({v} * {w}), sum(CASE WHEN {v} IS NOT NULL THEN {w} END))")
 
 
-def weighted_sum(value, weight) -> Column:
+def weighted_sum(value: str, weight: str) -> Column:
     """sum(value * weight), 0 when there is nothing to add (pandas rule)."""
-    v, w = col_of(value), col_of(weight)
-    return F.coalesce(F.sum(v * w), F.lit(0).cast("bigint"))
+    v, w = ident(value), ident(weight)
+    return F.expr(f"coalesce(sum({v} * {w}), 0L)")

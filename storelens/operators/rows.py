@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions.text import col_of
+from storelens.functions.sql import ident
 
 # Rows generated per task-sized chunk when a count is expanded into rows.
 EXPAND_CHUNK_ROWS = 1_000_000
@@ -37,16 +37,12 @@ def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> Da
     runs as a bounded TakeOrderedAndProject (``df.sample`` is only
     approximate in size).
     """
-    h = F.xxhash64(F.lit(seed), *[col_of(k) for k in key])
-    return (df.withColumn("_sample_rank", h)
+    keys = ", ".join(ident(k) for k in key)
+    return (df.withColumn("_sample_rank", F.expr(f"xxhash64({int(seed)}, {keys})"))
             .orderBy(F.col("_sample_rank"), *[F.col(k).asc_nulls_last() for k in key])
             .limit(n).drop("_sample_rank"))
 
 
-def _idiv(a: Column, b) -> Column:
-    return F.call_function("div", a, F.lit(b).cast("bigint"))
-
-
 def expand_rows(df: DataFrame, count_col: str, chunk_rows: int = EXPAND_CHUNK_ROWS,
                 partitions: int | None = None) -> DataFrame:
     """Replace each row by ``count_col`` copies of itself (rows with a count
@@ -57,21 +53,19 @@ def expand_rows(df: DataFrame, count_col: str, chunk_rows: int = EXPAND_CHUNK_RO
     ``partitions`` tasks before the copies are generated, so no single task
     materialises a hot group.  Only the compact descriptors are shuffled.
     """
-    n = F.col(count_col).cast("bigint")
     spark = df.sparkSession
     if partitions is None:
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                          spark.sparkContext.defaultParallelism)
-    cols = [c for c in df.columns if c != count_col]
+    cols = [ident(c) for c in df.columns if c != count_col]
+    n, size = f"CAST({ident(count_col)} AS BIGINT)", f"{int(chunk_rows)}L"
     chunks = (
-        df.where(n >= 1)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                   _idiv(n - 1, chunk_rows))))
-        .withColumn("_chunk_rows", F.least(F.lit(chunk_rows).cast("bigint"),
-                                           n - F.col("_chunk") * F.lit(chunk_rows)))
+        df.where(f"{n} >= 1")
+        .selectExpr(*cols, f"{n} AS _n",
+                    f"explode(sequence(0L, ({n} - 1) div {size})) AS _chunk")
+        .selectExpr(*cols, f"least({size}, _n - _chunk * {size}) AS _chunk_rows",
+                    f"xxhash64({', '.join(cols)}, _chunk) AS _spread")
         # explicit partition count: AQE does not coalesce it back into one task
-        .repartition(partitions, F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")))
+        .repartition(partitions, "_spread")
     )
-    return (chunks
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_chunk_rows"))))
-            .select(*cols))
+    return chunks.selectExpr(*cols, "explode(sequence(1L, _chunk_rows)) AS _copy").selectExpr(*cols)

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions import bytes_to_mb, compact_number
+from storelens.functions import bytes_to_mb_sql, compact_number_sql, lit
 from storelens.operators import (
     exact_sample,
     expand_rows,
@@ -70,18 +70,14 @@ class FrameView:
         self.sentiments.unpersist()
 
 
-def _count(name: str):
-    return F.count(F.lit(1)).alias(name)
-
-
 def _categories(inp: DashboardInputs) -> DataFrame:
     return (inp.dim_categories
-            .groupBy("category_id", F.col("app_category").alias("category_name"))
-            .agg(_count("_n_cat")))
+            .groupBy(F.col("category_id"), F.col("app_category").alias("category_name"))
+            .agg(F.expr("count(1)").alias("_n_cat")))
 
 
 def _sentiment_counts(inp: DashboardInputs) -> DataFrame:
-    return inp.reviews.groupBy("app_name", "review_sentiment").agg(_count("_n_rev"))
+    return inp.reviews.groupBy("app_name", "review_sentiment").agg(F.expr("count(1)").alias("_n_rev"))
 
 
 def dashboard_frame(inp: DashboardInputs) -> DataFrame:
@@ -89,36 +85,37 @@ def dashboard_frame(inp: DashboardInputs) -> DataFrame:
     unknown).  Joins run on the reduced inputs; the copies are generated
     last by ``expand_rows``, which splits hot groups across tasks."""
     d = (inp.dim_apps.groupBy("app_id", "app_name", "app_size_bytes", "last_updated_date")
-         .agg(_count("_n_dim")))
-    f = inp.fact.select("app_id", "category_id", F.col("app_price").alias("price"),
-                        "average_user_rating", "total_installs", "total_reviews")
+         .agg(F.expr("count(1)").alias("_n_dim")))
+    f = inp.fact.selectExpr("app_id", "category_id", "app_price AS price",
+                            "average_user_rating", "total_installs", "total_reviews")
     rows = (f.join(d, "app_id")
             .join(_categories(inp), "category_id")
             .join(_sentiment_counts(inp), "app_name", "left"))
-    mult = F.col("_n_dim") * F.col("_n_cat") * F.coalesce(F.col("_n_rev"), F.lit(1))
     keep = [c for c in FRAME_COLUMNS if c != "app_size_mb"]
-    out = expand_rows(rows.select(*keep, mult.alias("_mult")), "_mult")
-    return out.withColumn("app_size_mb", bytes_to_mb("app_size_bytes")).select(*FRAME_COLUMNS)
+    rows = rows.selectExpr(*keep, "_n_dim * _n_cat * coalesce(_n_rev, 1L) AS _mult")
+    return expand_rows(rows, "_mult").selectExpr(
+        *keep, f"{bytes_to_mb_sql('app_size_bytes')} AS app_size_mb"
+    ).select(*FRAME_COLUMNS)
 
 
 def frame_view(inp: DashboardInputs) -> FrameView:
     """Row-weighted view: each weight is the number of frame rows."""
-    d = inp.dim_apps.groupBy("app_id", "app_name").agg(_count("_n_dim"))
+    d = inp.dim_apps.groupBy("app_id", "app_name").agg(F.expr("count(1)").alias("_n_dim"))
     s = _sentiment_counts(inp)
     # per-name totals from the per-sentiment counts: one pass over the reviews
-    r = s.groupBy("app_name").agg(F.sum("_n_rev").alias("_n_any"))
-    f = inp.fact.select("app_id", "category_id", F.col("app_price").alias("price"),
-                        "average_user_rating", "total_installs")
+    r = s.groupBy("app_name").agg(F.expr("sum(_n_rev)").alias("_n_any"))
+    f = inp.fact.selectExpr("app_id", "category_id", "app_price AS price",
+                            "average_user_rating", "total_installs")
     base = (f.join(d, "app_id").join(_categories(inp), "category_id")
             .join(r, "app_name", "left")
-            .withColumn("_w_app", F.col("_n_dim") * F.col("_n_cat")))
-    apps = base.select("app_name", "category_name", "price", "average_user_rating",
-                       "total_installs",
-                       (F.col("_w_app") * F.coalesce(F.col("_n_any"), F.lit(1))).alias("weight"))
-    per_name = base.groupBy("app_name", "category_name").agg(F.sum("_w_app").alias("_m"))
+            .selectExpr("app_name", "category_name", "price", "average_user_rating",
+                        "total_installs", "_n_any", "_n_dim * _n_cat AS _w_app"))
+    apps = base.selectExpr("app_name", "category_name", "price", "average_user_rating",
+                           "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight")
+    per_name = base.groupBy("app_name", "category_name").agg(F.expr("sum(_w_app)").alias("_m"))
     sentiments = (per_name.join(s, "app_name")
-                  .select("app_name", "category_name", "review_sentiment",
-                          (F.col("_m") * F.col("_n_rev")).alias("weight")))
+                  .selectExpr("app_name", "category_name", "review_sentiment",
+                              "_m * _n_rev AS weight"))
     return FrameView(apps, sentiments)
 
 
@@ -126,22 +123,21 @@ def app_view(inp: DashboardInputs) -> FrameView:
     """App-weighted view: every keyed fact row counts once (with its category
     name), and each of its app's reviews counts once."""
     f = (inp.fact.join(_categories(inp), "category_id")
-         .select("app_name", "category_name", F.col("app_price").alias("price"),
-                 "average_user_rating", "total_installs", F.col("_n_cat").alias("weight")))
-    per_name = f.groupBy("app_name", "category_name").agg(F.sum("weight").alias("_m"))
+         .selectExpr("app_name", "category_name", "app_price AS price",
+                     "average_user_rating", "total_installs", "_n_cat AS weight"))
+    per_name = f.groupBy("app_name", "category_name").agg(F.expr("sum(weight)").alias("_m"))
     sentiments = (per_name.join(_sentiment_counts(inp), "app_name")
-                  .select("app_name", "category_name", "review_sentiment",
-                          (F.col("_m") * F.col("_n_rev")).alias("weight")))
+                  .selectExpr("app_name", "category_name", "review_sentiment",
+                              "_m * _n_rev AS weight"))
     return FrameView(f, sentiments)
 
 
 def view_of_frame(frame: DataFrame) -> FrameView:
     """View of an already materialised frame (every row weight 1)."""
-    one = F.lit(1).cast("bigint").alias("weight")
     return FrameView(
-        frame.select("app_name", "category_name", "price", "average_user_rating",
-                     "total_installs", one),
-        frame.select("app_name", "category_name", "review_sentiment", one),
+        frame.selectExpr("app_name", "category_name", "price", "average_user_rating",
+                         "total_installs", "1L AS weight"),
+        frame.selectExpr("app_name", "category_name", "review_sentiment", "1L AS weight"),
     )
 
 
@@ -158,7 +154,7 @@ def for_category(df: DataFrame, category: str | None) -> DataFrame:
     'Unknown') equals it."""
     if not category:
         return df
-    return df.where(F.coalesce(F.col("category_name"), F.lit(UNKNOWN_CATEGORY)) == F.lit(category))
+    return df.where(f"coalesce(category_name, {lit(UNKNOWN_CATEGORY)}) = {lit(category)}")
 
 
 def kpis(v: FrameView, category: str | None = None) -> DataFrame:
@@ -166,12 +162,15 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
     0.0 when there is none), total_installs, installs_display."""
     a = for_category(v.apps, category)
     out = a.agg(
-        F.count_distinct("app_name").alias("total_apps"),
-        F.coalesce(F.round(weighted_mean("average_user_rating", "weight"), 2),
-                   F.lit(0.0)).alias("avg_rating"),
-        weighted_sum("total_installs", "weight").cast("bigint").alias("total_installs"),
+        F.expr("count(DISTINCT app_name)").alias("total_apps"),
+        weighted_mean("average_user_rating", "weight").alias("_mean"),
+        weighted_sum("total_installs", "weight").alias("_installs"),
     )
-    return out.withColumn("installs_display", compact_number("total_installs"))
+    return out.selectExpr(
+        "total_apps",
+        "coalesce(round(_mean, 2), CAST(0.0 AS DOUBLE)) AS avg_rating",
+        "CAST(_installs AS BIGINT) AS total_installs",
+        f"{compact_number_sql('_installs')} AS installs_display")
 
 
 def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
@@ -179,10 +178,11 @@ def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
     """Mean rating per app name, the ``n`` best (NULL means last, ties by
     name).  ``digits`` rounds the mean before ranking (display precision)."""
     a = for_category(v.apps, category)
-    mean = weighted_mean("average_user_rating", "weight")
+    per_app = a.groupBy("app_name").agg(
+        weighted_mean("average_user_rating", "weight").alias("average_user_rating"))
     if digits is not None:
-        mean = F.round(mean, digits)
-    per_app = a.groupBy("app_name").agg(mean.alias("average_user_rating"))
+        per_app = per_app.selectExpr(
+            "app_name", f"round(average_user_rating, {int(digits)}) AS average_user_rating")
     return top_k(per_app, n, [F.col("average_user_rating").desc_nulls_last()], ties=["app_name"])
 
 
@@ -192,9 +192,11 @@ def rating_vs_installs(v: FrameView, category: str | None = None) -> DataFrame:
     a = for_category(v.apps, category)
     return (a.groupBy("app_name")
             .agg(weighted_mean("average_user_rating", "weight").alias("average_user_rating"),
-                 weighted_sum("total_installs", "weight").cast("bigint").alias("total_installs"),
-                 F.min("price").alias("price"))
-            .withColumn("price_numeric_viz", F.coalesce(F.col("price").cast("double"), F.lit(0.0))))
+                 weighted_sum("total_installs", "weight").alias("total_installs"),
+                 F.expr("min(price)").alias("price"))
+            .selectExpr("app_name", "average_user_rating",
+                        "CAST(total_installs AS BIGINT) AS total_installs", "price",
+                        "coalesce(CAST(price AS DOUBLE), CAST(0.0 AS DOUBLE)) AS price_numeric_viz"))
 
 
 def rating_vs_installs_sample(v: FrameView, category: str | None = None,
@@ -206,15 +208,15 @@ def rating_vs_installs_sample(v: FrameView, category: str | None = None,
 def sentiment_distribution(v: FrameView, category: str | None = None) -> DataFrame:
     """Frame rows per non-NULL sentiment label (case kept) and their share,
     largest first."""
-    s = for_category(v.sentiments, category).where(F.col("review_sentiment").isNotNull())
-    counts = s.groupBy("review_sentiment").agg(F.sum("weight").cast("bigint").alias("n"))
+    s = for_category(v.sentiments, category).where("review_sentiment IS NOT NULL")
+    counts = s.groupBy("review_sentiment").agg(F.expr("CAST(sum(weight) AS BIGINT)").alias("n"))
     return (with_share(counts, "n", "share")
             .orderBy(F.col("n").desc(), F.col("review_sentiment").asc()))
 
 
 def category_list(v: FrameView) -> DataFrame:
     """Sorted distinct category names present in the frame."""
-    return (v.apps.select("category_name").where(F.col("category_name").isNotNull())
+    return (v.apps.select("category_name").where("category_name IS NOT NULL")
             .distinct().orderBy("category_name"))
 
 

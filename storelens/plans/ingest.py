@@ -1,8 +1,8 @@
 """Cleaning of the raw inputs into landing tables (M1, M2).
 
-Both are narrow, per-row plans (map-only stages): NA tokens to NULL, row
-filters, typed conversions, fill values.  Filters on raw columns are
-placed first so Catalyst can push them into the scan.
+Both are narrow, per-row plans (one map-only codegen stage): NA tokens to
+NULL, row filters, typed conversions, fill values — one filter and one
+projection each.
 """
 
 from __future__ import annotations
@@ -10,25 +10,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.functions import (
-    installs_text,
-    installs_to_long,
-    is_digits,
-    na_to_null,
-    price_to_number,
-    to_number,
+    ident,
+    installs_text_sql,
+    installs_to_long_sql,
+    is_digits_sql,
+    lit,
+    na_to_null_sql,
+    price_to_number_sql,
+    to_number_sql,
 )
 from storelens.sources.schemas import APPS_COLUMNS, APPS_FILL, NA_TOKENS, REVIEWS_FILL
 
 
-def _na_strings(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
-    """Missing-value tokens -> NULL in every string column."""
+def _na_exprs(df: DataFrame, columns: Sequence[str], tokens: Sequence[str]) -> dict[str, str]:
+    """SQL per column: missing-value tokens -> NULL on string columns."""
     strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[(na_to_null(c, tokens) if c in strings else F.col(c)).alias(c)
-                       for c in df.columns])
+    return {c: na_to_null_sql(ident(c), tokens) if c in strings else ident(c) for c in columns}
 
 
 def clean_apps(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS,
@@ -39,23 +39,26 @@ def clean_apps(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS,
     * Installs: ',' and '+' removed, blanks stripped; rows whose result is
       not all digits are dropped, the rest become bigint;
     * Rating: plain number or NULL, then 0.0 when ``unrated_as_zero``;
-    * text fields get their fill values (``APPS_FILL``);
+    * text fields get their fill values (``APPS_FILL``), the rest '';
     * Price: '$' removed, number, anything else 0.0.
     """
-    df = _na_strings(raw.select(*APPS_COLUMNS), na_tokens)
-    inst = installs_text("Installs")
-    df = (df.where(F.col("App").isNotNull())
-          .withColumn("Installs", inst)
-          .where(is_digits("Installs")))
-    rating = to_number("Rating")
+    na = _na_exprs(raw, APPS_COLUMNS, na_tokens)
+    installs = installs_text_sql(na["Installs"])
+    keep = f"{na['App']} IS NOT NULL AND {is_digits_sql(installs)}"
+
+    def filled(c: str) -> str:
+        return f"coalesce({na[c]}, {lit(APPS_FILL.get(c, ''))})"
+
+    rating = to_number_sql(na["Rating"])
     if unrated_as_zero:
-        rating = F.coalesce(rating, F.lit(APPS_FILL["Rating"]))
-    text_fill = {k: v for k, v in APPS_FILL.items() if k != "Rating"}
-    df = (df.withColumns({"Rating": rating, "Installs": installs_to_long("Installs")})
-          .na.fill(text_fill)
-          .withColumn("Price", price_to_number("Price")))
-    remaining = [c for c in APPS_COLUMNS if c not in APPS_FILL and c not in ("Installs",)]
-    return df.na.fill("", subset=remaining).select(*APPS_COLUMNS)
+        rating = f"coalesce({rating}, {lit(float(APPS_FILL['Rating']))})"
+    out = {c: filled(c) for c in APPS_COLUMNS}
+    out.update({
+        "Rating": rating,
+        "Installs": installs_to_long_sql(installs),
+        "Price": price_to_number_sql(filled("Price")),
+    })
+    return raw.where(keep).selectExpr(*[f"{e} AS {ident(c)}" for c, e in out.items()])
 
 
 def clean_reviews(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
@@ -63,6 +66,9 @@ def clean_reviews(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataF
     dropped; Sentiment defaults to 'Neutral', the two scores to '0.0' (kept as
     text — malformed scores are resolved in staging).  A store-assigned
     ``_id`` column is dropped when present."""
-    df = _na_strings(raw.drop("_id"), na_tokens)
-    return (df.where(F.col("App").isNotNull() & F.col("Translated_Review").isNotNull())
-            .na.fill(REVIEWS_FILL))
+    raw = raw.drop("_id")
+    na = _na_exprs(raw, raw.columns, na_tokens)
+    keep = f"{na['App']} IS NOT NULL AND {na['Translated_Review']} IS NOT NULL"
+    out = [f"coalesce({e}, {lit(REVIEWS_FILL[c])}) AS {ident(c)}" if c in REVIEWS_FILL
+           else f"{e} AS {ident(c)}" for c, e in na.items()]
+    return raw.where(keep).selectExpr(*out)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions import md5_key, sentiment_score
+from storelens.functions import md5_key_sql, sentiment_score_sql
 from storelens.operators import distinct_on
 
 DIM_APPS_GROUP = (
@@ -23,23 +23,22 @@ def dim_apps(stg_apps: DataFrame) -> DataFrame:
     """Distinct app versions with app_id = md5(app_name‖current_version).
     app_id is not unique: rows differing in other columns keep the same id."""
     return (distinct_on(stg_apps, DIM_APPS_GROUP)
-            .select(md5_key("app_name", "current_version").alias("app_id"), *DIM_APPS_GROUP))
+            .selectExpr(f"{md5_key_sql('app_name', 'current_version')} AS app_id", *DIM_APPS_GROUP))
 
 
 def dim_categories(stg_apps: DataFrame) -> DataFrame:
     """Distinct (category, genres) with category_id = md5(category‖genres)."""
-    pairs = distinct_on(stg_apps.where(F.col("app_category").isNotNull()),
-                        ("app_category", "app_genres"))
-    return pairs.select(md5_key("app_category", "app_genres").alias("category_id"),
-                        "app_category", "app_genres")
+    pairs = distinct_on(stg_apps.where("app_category IS NOT NULL"), ("app_category", "app_genres"))
+    return pairs.selectExpr(f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
+                            "app_category", "app_genres")
 
 
 def review_metrics(stg_reviews: DataFrame) -> DataFrame:
     """Per app name: mean sentiment score (unscored labels skipped) and the
     review count (all rows)."""
     return (stg_reviews.groupBy("app_name")
-            .agg(F.avg(sentiment_score("review_sentiment")).alias("avg_sentiment"),
-                 F.count(F.lit(1)).alias("total_reviews")))
+            .agg(F.expr(f"avg({sentiment_score_sql('review_sentiment')})").alias("avg_sentiment"),
+                 F.expr("count(1)").alias("total_reviews")))
 
 
 FACT_COLUMNS = (
@@ -74,10 +73,11 @@ def fact_app_metrics_keyed(stg_apps: DataFrame, stg_reviews: DataFrame) -> DataF
     consumers select: mean rating, largest installs and price, and the review
     metrics of the app name."""
     keyed = (stg_apps
-             .groupBy(md5_key("app_name", "current_version").alias("app_id"),
-                      "app_name",
-                      md5_key("app_category", "app_genres").alias("category_id"))
-             .agg(F.max("app_price").alias("app_price"),
-                  F.avg("app_rating").alias("average_user_rating"),
-                  F.max("installs_int").alias("total_installs")))
+             .selectExpr(f"{md5_key_sql('app_name', 'current_version')} AS app_id", "app_name",
+                         f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
+                         "app_price", "app_rating", "installs_int")
+             .groupBy("app_id", "app_name", "category_id")
+             .agg(F.expr("max(app_price)").alias("app_price"),
+                  F.expr("avg(app_rating)").alias("average_user_rating"),
+                  F.expr("max(installs_int)").alias("total_installs")))
     return keyed.join(review_metrics(stg_reviews), "app_name", "left").select(*KEYED_COLUMNS)

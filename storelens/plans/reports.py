@@ -17,11 +17,11 @@ def top_rated(fact_keyed: DataFrame, dim_apps_df: DataFrame, n: int = 5) -> Data
     row is repeated only min(count, n) times — the top n cannot hold more —
     instead of emitting every pair of a hot app_id.
     """
-    names = dim_apps_df.groupBy("app_id", "app_name").agg(F.count(F.lit(1)).alias("_n"))
+    names = dim_apps_df.groupBy("app_id", "app_name").agg(F.expr("count(1)").alias("_n"))
     rows = (fact_keyed.select("app_id", "average_user_rating")
             .join(names, "app_id")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                      F.least(F.col("_n"), F.lit(n).cast("bigint"))))))
+            .selectExpr("app_id", "app_name", "average_user_rating",
+                        f"explode(sequence(1L, least(_n, {int(n)}L))) AS _copy"))
     best = top_k(rows, n, [F.col("average_user_rating").desc_nulls_last()],
                  ties=["app_name", "app_id"])
     return best.select("app_name", "average_user_rating")
@@ -42,7 +42,7 @@ def top_apps_by_reviews(fact: DataFrame, n: int = 10) -> DataFrame:
 def top_categories_by_reviews(fact: DataFrame, n: int = 10) -> DataFrame:
     """Reviews summed per category (rows without a category dropped, an
     all-NULL sum counts 0), top ``n``."""
-    per_cat = (fact.where(F.col("app_category").isNotNull())
+    per_cat = (fact.where("app_category IS NOT NULL")
                .groupBy("app_category")
-               .agg(F.coalesce(F.sum("total_reviews"), F.lit(0)).cast("bigint").alias("total_reviews")))
+               .agg(F.expr("CAST(coalesce(sum(total_reviews), 0L) AS BIGINT)").alias("total_reviews")))
     return top_k(per_cat, n, [F.col("total_reviews").desc_nulls_last()], ties=["app_category"])

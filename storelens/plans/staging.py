@@ -2,58 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from storelens.functions import iso_date, md5_key, size_to_bytes, text_score, to_number
+from storelens.functions import (
+    ident,
+    iso_date_sql,
+    md5_key_sql,
+    size_to_bytes_sql,
+    text_score_sql,
+    to_number_sql,
+)
 
 
-def _double(df: DataFrame, name: str) -> Column:
+def _double(df: DataFrame, name: str) -> str:
     """A numeric column as double; text (e.g. read back from CSV) is parsed."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return to_number(name)
-    return F.col(name).cast("double")
+        return to_number_sql(ident(name))
+    return f"CAST({ident(name)} AS DOUBLE)"
 
 
-def _bigint(df: DataFrame, name: str) -> Column:
+def _bigint(df: DataFrame, name: str) -> str:
+    c = ident(name)
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.when(F.col(name).rlike(r"^\s*[+-]?[0-9]+\s*$"), F.col(name).try_cast("bigint"))
-    return F.col(name).cast("bigint")
+        return f"CASE WHEN {c} RLIKE r'^\\s*[+-]?[0-9]+\\s*$' THEN try_cast({c} AS BIGINT) END"
+    return f"CAST({c} AS BIGINT)"
 
 
 def stg_apps(clean: DataFrame) -> DataFrame:
     """Landed apps -> staging: sizes in bytes, ISO dates, row key
     md5(App‖Last_Updated‖Current_Ver) over the raw texts."""
-    return (clean.where(F.col("App").isNotNull())
-            .select(
-                F.col("App").alias("app_name"),
-                F.col("Category").alias("app_category"),
-                _double(clean, "Rating").alias("app_rating"),
-                F.col("Reviews").alias("reviews_text"),
-                size_to_bytes("Size").alias("app_size_bytes"),
-                _bigint(clean, "Installs").alias("installs_int"),
-                F.col("Type").alias("app_type"),
-                _double(clean, "Price").alias("app_price"),
-                F.col("Content_Rating").alias("content_rating"),
-                F.col("Genres").alias("app_genres"),
-                iso_date("Last_Updated").alias("last_updated_date"),
-                F.col("Current_Ver").alias("current_version"),
-                F.col("Android_Ver").alias("android_version"),
-                md5_key("App", "Last_Updated", "Current_Ver").alias("source_unique_key"),
-            )
-            .where(F.col("installs_int").isNotNull()))
+    installs = _bigint(clean, "Installs")
+    return (clean.where(f"`App` IS NOT NULL AND {installs} IS NOT NULL")
+            .selectExpr(
+                "`App` AS app_name",
+                "`Category` AS app_category",
+                f"{_double(clean, 'Rating')} AS app_rating",
+                "`Reviews` AS reviews_text",
+                f"{size_to_bytes_sql('`Size`')} AS app_size_bytes",
+                f"{installs} AS installs_int",
+                "`Type` AS app_type",
+                f"{_double(clean, 'Price')} AS app_price",
+                "`Content_Rating` AS content_rating",
+                "`Genres` AS app_genres",
+                f"{iso_date_sql('`Last_Updated`')} AS last_updated_date",
+                "`Current_Ver` AS current_version",
+                "`Android_Ver` AS android_version",
+                f"{md5_key_sql('`App`', '`Last_Updated`', '`Current_Ver`')} AS source_unique_key",
+            ))
 
 
 def stg_reviews(clean: DataFrame) -> DataFrame:
     """Landed reviews -> staging: scores as doubles (NULL token or malformed
     text -> NULL), row key md5(App‖Translated_Review)."""
-    return (clean.where(F.col("Translated_Review").isNotNull())
-            .select(
-                F.col("App").alias("app_name"),
-                F.col("Translated_Review").alias("review_text"),
-                F.col("Sentiment").alias("review_sentiment"),
-                text_score("Sentiment_Subjectivity").alias("subjectivity"),
-                text_score("Sentiment_Polarity").alias("polarity"),
-                md5_key("App", "Translated_Review").alias("source_unique_key"),
+    return (clean.where("`Translated_Review` IS NOT NULL")
+            .selectExpr(
+                "`App` AS app_name",
+                "`Translated_Review` AS review_text",
+                "`Sentiment` AS review_sentiment",
+                f"{text_score_sql('`Sentiment_Subjectivity`')} AS subjectivity",
+                f"{text_score_sql('`Sentiment_Polarity`')} AS polarity",
+                f"{md5_key_sql('`App`', '`Translated_Review`')} AS source_unique_key",
             ))

@@ -30,7 +30,7 @@ REQUIRED_FRAME_COLUMNS = (
 
 
 def _r(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), DIGITS) for c in cols})
+    return df.selectExpr(*[f"round({c}, {DIGITS}) AS {c}" if c in cols else c for c in df.columns])
 
 
 class Models:

@@ -3,76 +3,68 @@
 The projection is a fixed mapping (see FIXTURES.md §4): ``part`` rows become
 app listings and ``lineitem`` rows become reviews of the part's app.  It
 deliberately produces NULL tokens, malformed numbers, both date styles,
-duplicate names and names equal to genres.  Expressed with the DataFrame API
-so that Catalyst prunes ``part``/``lineitem`` to the columns used.
+duplicate names and names equal to genres.  One ``selectExpr`` per table;
+Catalyst prunes ``part``/``lineitem`` to the columns a query uses.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+# Fixed mapping (FIXTURES.md §4), one SQL expression per raw column.
+APPS_FROM_PART = (
+    "p_name || ' ' || p_brand AS App",
+    "CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE p_type END AS Category",
+    "CASE WHEN p_partkey % 10 = 0 THEN 'NaN' "
+    "ELSE CAST(1 + (p_partkey % 41) / CAST(10 AS DOUBLE) AS STRING) END AS Rating",
+    "CAST(p_partkey * 7 % 1000 AS STRING) AS Reviews",
+    "CASE WHEN p_partkey % 4 = 0 THEN 'Varies with device' "
+    "WHEN p_partkey % 4 = 1 THEN CAST(p_size AS STRING) || 'M' "
+    "WHEN p_partkey % 4 = 2 THEN CAST(p_size AS STRING) || '.5k' "
+    "ELSE CAST(p_size AS STRING) || 'G' END AS Size",
+    "CASE WHEN p_partkey % 13 = 0 THEN 'Free' ELSE CAST(p_size AS STRING) || ',000+' END AS Installs",
+    "CASE WHEN p_partkey % 3 = 0 THEN 'Free' ELSE 'Paid' END AS Type",
+    "CASE WHEN p_partkey % 3 = 0 THEN '0' WHEN p_partkey % 17 = 0 THEN 'Everyone' "
+    "ELSE '$' || CAST(p_retailprice AS STRING) END AS Price",
+    "CASE WHEN p_size < 10 THEN 'Everyone' WHEN p_size < 30 THEN 'Teen' ELSE NULL END AS Content_Rating",
+    "CASE WHEN p_partkey % 5 = 0 THEN p_name || ' ' || p_brand ELSE p_brand END AS Genres",
+    "CASE WHEN p_partkey % 7 = 0 THEN NULL "
+    "WHEN p_partkey % 2 = 0 THEN '2018-01-' || CAST(10 + p_size % 20 AS STRING) "
+    "ELSE 'January 7, 2018' END AS Last_Updated",
+    "CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(p_size % 5 AS STRING) || '.0' END AS Current_Ver",
+    "CAST(4 + p_size % 3 AS STRING) || '.1 and up' AS Android_Ver",
+)
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+REVIEWS_FROM_LINEITEM = (
+    "p_name || ' ' || p_brand AS App",
+    "CASE WHEN l_linenumber = 7 THEN NULL "
+    "ELSE 'review ' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) END "
+    "AS Translated_Review",
+    "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_returnflag = 'A' THEN 'Positive' "
+    "WHEN l_returnflag = 'N' THEN 'Neutral' ELSE 'Negative' END AS Sentiment",
+    "CASE WHEN l_linenumber = 5 THEN 'NULL' ELSE CAST(l_discount * 20 - 1 AS STRING) END "
+    "AS Sentiment_Polarity",
+    "CASE WHEN l_linenumber = 5 THEN 'nan' ELSE CAST(l_tax * 10 AS STRING) END "
+    "AS Sentiment_Subjectivity",
+)
 
 
-def _s(c):
-    return c.cast("string")
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_apps_from_part(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    size = F.col("p_size")
-    name = F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"))
-    return part.select(
-        name.alias("App"),
-        F.when(k % 29 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("Category"),
-        F.when(k % 10 == 0, F.lit("NaN"))
-        .otherwise(_s(F.lit(1) + (k % 41) / F.lit(10).cast("double"))).alias("Rating"),
-        _s(k * 7 % 1000).alias("Reviews"),
-        F.when(k % 4 == 0, F.lit("Varies with device"))
-        .when(k % 4 == 1, F.concat(_s(size), F.lit("M")))
-        .when(k % 4 == 2, F.concat(_s(size), F.lit(".5k")))
-        .otherwise(F.concat(_s(size), F.lit("G"))).alias("Size"),
-        F.when(k % 13 == 0, F.lit("Free")).otherwise(F.concat(_s(size), F.lit(",000+"))).alias("Installs"),
-        F.when(k % 3 == 0, F.lit("Free")).otherwise(F.lit("Paid")).alias("Type"),
-        F.when(k % 3 == 0, F.lit("0")).when(k % 17 == 0, F.lit("Everyone"))
-        .otherwise(F.concat(F.lit("$"), _s(F.col("p_retailprice")))).alias("Price"),
-        F.when(size < 10, F.lit("Everyone")).when(size < 30, F.lit("Teen"))
-        .otherwise(F.lit(None).cast("string")).alias("Content_Rating"),
-        F.when(k % 5 == 0, name).otherwise(F.col("p_brand")).alias("Genres"),
-        F.when(k % 7 == 0, F.lit(None).cast("string"))
-        .when(k % 2 == 0, F.concat(F.lit("2018-01-"), _s(F.lit(10) + size % 20)))
-        .otherwise(F.lit("January 7, 2018")).alias("Last_Updated"),
-        F.when(k % 11 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(_s(size % 5), F.lit(".0"))).alias("Current_Ver"),
-        F.concat(_s(F.lit(4) + size % 3), F.lit(".1 and up")).alias("Android_Ver"),
-    )
+    return part.selectExpr(*APPS_FROM_PART)
 
 
 def raw_reviews_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    ln = F.col("l_linenumber")
-    flag = F.col("l_returnflag")
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag",
                          "l_discount", "l_tax")
     p = part.select("p_partkey", "p_name", "p_brand")
     # Inner equi-join on the part key; AQE picks broadcast or sort-merge from
     # the measured size of ``part`` and splits skewed partitions at run time.
-    j = li.join(p, li.l_partkey == p.p_partkey, "inner")
-    return j.select(
-        F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand")).alias("App"),
-        F.when(ln == 7, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("review "), _s(F.col("l_orderkey")), F.lit("-"), _s(ln)))
-        .alias("Translated_Review"),
-        F.when(ln == 6, F.lit(None).cast("string"))
-        .when(flag == "A", F.lit("Positive")).when(flag == "N", F.lit("Neutral"))
-        .otherwise(F.lit("Negative")).alias("Sentiment"),
-        F.when(ln == 5, F.lit("NULL")).otherwise(_s(F.col("l_discount") * 20 - 1))
-        .alias("Sentiment_Polarity"),
-        F.when(ln == 5, F.lit("nan")).otherwise(_s(F.col("l_tax") * 10))
-        .alias("Sentiment_Subjectivity"),
-    )
+    j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
+    return j.selectExpr(*REVIEWS_FROM_LINEITEM)
 
 
 def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,14 +3,12 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
-
 from storelens import functions as sf
 
 
 def one_col(spark, values, fn, dtype="string"):
     df = spark.createDataFrame([(v,) for v in values], f"x {dtype}")
-    return [r[0] for r in df.select(fn(F.col("x"))).collect()]
+    return [r[0] for r in df.select(fn("x")).collect()]
 
 
 def test_to_number_rejects_java_literals_and_specials(spark):
@@ -96,7 +94,7 @@ def test_thousands(spark):
 def test_na_to_null(spark):
     from storelens.sources.schemas import NA_TOKENS
     got = one_col(spark, ["NaN", "nan", "NULL", "", "N/A", " NaN", "ok", None],
-                  lambda c: sf.na_to_null(c, NA_TOKENS))
+                  lambda c: sf.na_to_null(c, tokens=NA_TOKENS))
     assert got == [None, None, None, None, None, " NaN", "ok", None]
 
 
