@@ -12,13 +12,17 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from storelens import plans
 from storelens.operators import ensure_columns, not_null_violations, unique_violations
 from storelens.session import scratch_path
 from storelens.sinks import export_csv
-from storelens.sources import raw_apps, raw_reviews, read_seed_csv
+from storelens.sources import (
+    raw_apps_from_part,
+    raw_reviews_from_lineitem,
+    read_seed_csv,
+    read_table,
+)
 from storelens.sources.schemas import REVIEWS_COLUMNS
 
 DIGITS = 6
@@ -39,13 +43,18 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def part(self):
+        return read_table(self.spark, self.sf_dir, "part")
+
     @cached_property
     def clean_apps(self):
-        return plans.clean_apps(raw_apps(self.spark, self.sf_dir))
+        return plans.clean_apps(raw_apps_from_part(self.part))
 
     @cached_property
     def clean_reviews(self):
-        return plans.clean_reviews(raw_reviews(self.spark, self.sf_dir))
+        lineitem = read_table(self.spark, self.sf_dir, "lineitem")
+        return plans.clean_reviews(raw_reviews_from_lineitem(lineitem, self.part))
 
     @cached_property
     def stg_apps(self):
@@ -99,7 +108,8 @@ def _pipeline_keyed(m: Models) -> DataFrame:
     """Full pipeline run with every model written to the shared folder; the
     keyed fact read back from its table."""
     out = scratch_path(m.spark, "pipeline")
-    t = plans.run_pipeline(raw_apps(m.spark, m.sf_dir), raw_reviews(m.spark, m.sf_dir), out)
+    lineitem = read_table(m.spark, m.sf_dir, "lineitem")
+    t = plans.run_pipeline(raw_apps_from_part(m.part), raw_reviews_from_lineitem(lineitem, m.part), out)
     return _r(t["fact_app_metrics_keyed"], "average_user_rating", "avg_sentiment")
 
 

@@ -41,7 +41,8 @@ def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
     spark = df.sparkSession
     if _is_path(target):
         w.save(target)
-        return spark.read.format(fmt).load(target)
+        # the written schema is known: no inference pass over the new files
+        return spark.read.format(fmt).schema(df.schema).load(target)
     w.saveAsTable(target)
     return spark.table(target)
 
