@@ -13,9 +13,9 @@ default ``spark.sql.parser.escapedStringLiterals=false``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -57,3 +57,19 @@ def as_column(builder: Callable[..., str]) -> Callable[..., Column]:
     column_fn.__name__ = builder.__name__.removesuffix("_sql")
     column_fn.__doc__ = builder.__doc__
     return column_fn
+
+
+def select_sql(df: DataFrame, exprs: Sequence[str], where: str | None = None) -> DataFrame:
+    """``SELECT exprs FROM df [WHERE where]`` as one SQL statement over the
+    DataFrame (one parse and analysis, instead of one driver call per
+    expression as ``selectExpr`` needs)."""
+    body = "SELECT " + ", ".join(exprs) + " FROM __src__"
+    if where:
+        body += f" WHERE {where}"
+    text = body.replace("{", "{{").replace("}", "}}").replace("__src__", "{src}")
+    return df.sparkSession.sql(text, src=df)
+
+
+def project(df: DataFrame, *exprs: str, where: str | None = None) -> DataFrame:
+    """``selectExpr`` as one SQL statement; chains as ``df.transform(project, ...)``."""
+    return select_sql(df, exprs, where)

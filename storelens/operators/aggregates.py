@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.sql import ident
+from storelens.functions.sql import project
 
 
 def value_counts(df: DataFrame, column: str, weight: str | None = None,
@@ -40,7 +41,7 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 20,
     return (df.where(f"{x} IS NOT NULL")
             .groupBy(F.expr(b).alias("bin"))
             .agg(F.expr("count(1)").alias("n"))
-            .selectExpr("bin", f"{base} + bin * {span} / {bins} AS bin_start",
+            .transform(project, "bin", f"{base} + bin * {span} / {bins} AS bin_start",
                         f"{base} + (bin + 1) * {span} / {bins} AS bin_end", "n"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.sql import ident
+from storelens.functions.sql import project
 
 # Rows generated per task-sized chunk when a count is expanded into rows.
 EXPAND_CHUNK_ROWS = 1_000_000
@@ -61,11 +62,11 @@ def expand_rows(df: DataFrame, count_col: str, chunk_rows: int = EXPAND_CHUNK_RO
     n, size = f"CAST({ident(count_col)} AS BIGINT)", f"{int(chunk_rows)}L"
     chunks = (
         df.where(f"{n} >= 1")
-        .selectExpr(*cols, f"{n} AS _n",
+        .transform(project, *cols, f"{n} AS _n",
                     f"explode(sequence(0L, ({n} - 1) div {size})) AS _chunk")
-        .selectExpr(*cols, f"least({size}, _n - _chunk * {size}) AS _chunk_rows",
+        .transform(project, *cols, f"least({size}, _n - _chunk * {size}) AS _chunk_rows",
                     f"xxhash64({', '.join(cols)}, _chunk) AS _spread")
         # explicit partition count: AQE does not coalesce it back into one task
         .repartition(partitions, "_spread")
     )
-    return chunks.selectExpr(*cols, "explode(sequence(1L, _chunk_rows)) AS _copy").selectExpr(*cols)
+    return chunks.transform(project, *cols, "explode(sequence(1L, _chunk_rows)) AS _copy").transform(project, *cols)

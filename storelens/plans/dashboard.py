@@ -37,6 +37,7 @@ from storelens.operators import (
     weighted_sum,
     with_share,
 )
+from storelens.functions.sql import project
 
 UNKNOWN_CATEGORY = "Unknown"
 
@@ -86,14 +87,14 @@ def dashboard_frame(inp: DashboardInputs) -> DataFrame:
     last by ``expand_rows``, which splits hot groups across tasks."""
     d = (inp.dim_apps.groupBy("app_id", "app_name", "app_size_bytes", "last_updated_date")
          .agg(F.expr("count(1)").alias("_n_dim")))
-    f = inp.fact.selectExpr("app_id", "category_id", "app_price AS price",
+    f = inp.fact.transform(project, "app_id", "category_id", "app_price AS price",
                             "average_user_rating", "total_installs", "total_reviews")
     rows = (f.join(d, "app_id")
             .join(_categories(inp), "category_id")
             .join(_sentiment_counts(inp), "app_name", "left"))
     keep = [c for c in FRAME_COLUMNS if c != "app_size_mb"]
-    rows = rows.selectExpr(*keep, "_n_dim * _n_cat * coalesce(_n_rev, 1L) AS _mult")
-    return expand_rows(rows, "_mult").selectExpr(
+    rows = rows.transform(project, *keep, "_n_dim * _n_cat * coalesce(_n_rev, 1L) AS _mult")
+    return expand_rows(rows, "_mult").transform(project,
         *keep, f"{bytes_to_mb_sql('app_size_bytes')} AS app_size_mb"
     ).select(*FRAME_COLUMNS)
 
@@ -104,17 +105,17 @@ def frame_view(inp: DashboardInputs) -> FrameView:
     s = _sentiment_counts(inp)
     # per-name totals from the per-sentiment counts: one pass over the reviews
     r = s.groupBy("app_name").agg(F.expr("sum(_n_rev)").alias("_n_any"))
-    f = inp.fact.selectExpr("app_id", "category_id", "app_price AS price",
+    f = inp.fact.transform(project, "app_id", "category_id", "app_price AS price",
                             "average_user_rating", "total_installs")
     base = (f.join(d, "app_id").join(_categories(inp), "category_id")
             .join(r, "app_name", "left")
-            .selectExpr("app_name", "category_name", "price", "average_user_rating",
+            .transform(project, "app_name", "category_name", "price", "average_user_rating",
                         "total_installs", "_n_any", "_n_dim * _n_cat AS _w_app"))
-    apps = base.selectExpr("app_name", "category_name", "price", "average_user_rating",
+    apps = base.transform(project, "app_name", "category_name", "price", "average_user_rating",
                            "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight")
     per_name = base.groupBy("app_name", "category_name").agg(F.expr("sum(_w_app)").alias("_m"))
     sentiments = (per_name.join(s, "app_name")
-                  .selectExpr("app_name", "category_name", "review_sentiment",
+                  .transform(project, "app_name", "category_name", "review_sentiment",
                               "_m * _n_rev AS weight"))
     return FrameView(apps, sentiments)
 
@@ -123,11 +124,11 @@ def app_view(inp: DashboardInputs) -> FrameView:
     """App-weighted view: every keyed fact row counts once (with its category
     name), and each of its app's reviews counts once."""
     f = (inp.fact.join(_categories(inp), "category_id")
-         .selectExpr("app_name", "category_name", "app_price AS price",
+         .transform(project, "app_name", "category_name", "app_price AS price",
                      "average_user_rating", "total_installs", "_n_cat AS weight"))
     per_name = f.groupBy("app_name", "category_name").agg(F.expr("sum(weight)").alias("_m"))
     sentiments = (per_name.join(_sentiment_counts(inp), "app_name")
-                  .selectExpr("app_name", "category_name", "review_sentiment",
+                  .transform(project, "app_name", "category_name", "review_sentiment",
                               "_m * _n_rev AS weight"))
     return FrameView(f, sentiments)
 
@@ -135,9 +136,9 @@ def app_view(inp: DashboardInputs) -> FrameView:
 def view_of_frame(frame: DataFrame) -> FrameView:
     """View of an already materialised frame (every row weight 1)."""
     return FrameView(
-        frame.selectExpr("app_name", "category_name", "price", "average_user_rating",
+        frame.transform(project, "app_name", "category_name", "price", "average_user_rating",
                          "total_installs", "1L AS weight"),
-        frame.selectExpr("app_name", "category_name", "review_sentiment", "1L AS weight"),
+        frame.transform(project, "app_name", "category_name", "review_sentiment", "1L AS weight"),
     )
 
 
@@ -166,7 +167,7 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
         weighted_mean("average_user_rating", "weight").alias("_mean"),
         weighted_sum("total_installs", "weight").alias("_installs"),
     )
-    return out.selectExpr(
+    return out.transform(project,
         "total_apps",
         "coalesce(round(_mean, 2), CAST(0.0 AS DOUBLE)) AS avg_rating",
         "CAST(_installs AS BIGINT) AS total_installs",
@@ -181,7 +182,7 @@ def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
     per_app = a.groupBy("app_name").agg(
         weighted_mean("average_user_rating", "weight").alias("average_user_rating"))
     if digits is not None:
-        per_app = per_app.selectExpr(
+        per_app = per_app.transform(project,
             "app_name", f"round(average_user_rating, {int(digits)}) AS average_user_rating")
     return top_k(per_app, n, [F.col("average_user_rating").desc_nulls_last()], ties=["app_name"])
 
@@ -194,7 +195,7 @@ def rating_vs_installs(v: FrameView, category: str | None = None) -> DataFrame:
             .agg(weighted_mean("average_user_rating", "weight").alias("average_user_rating"),
                  weighted_sum("total_installs", "weight").alias("total_installs"),
                  F.expr("min(price)").alias("price"))
-            .selectExpr("app_name", "average_user_rating",
+            .transform(project, "app_name", "average_user_rating",
                         "CAST(total_installs AS BIGINT) AS total_installs", "price",
                         "coalesce(CAST(price AS DOUBLE), CAST(0.0 AS DOUBLE)) AS price_numeric_viz"))
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from storelens.functions.sql import select_sql
 from storelens.functions import (
     ident,
     installs_text_sql,
@@ -58,7 +59,7 @@ def clean_apps(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS,
         "Installs": installs_to_long_sql(installs),
         "Price": price_to_number_sql(filled("Price")),
     })
-    return raw.where(keep).selectExpr(*[f"{e} AS {ident(c)}" for c, e in out.items()])
+    return select_sql(raw, [f"{e} AS {ident(c)}" for c, e in out.items()], keep)
 
 
 def clean_reviews(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
@@ -71,4 +72,4 @@ def clean_reviews(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataF
     keep = f"{na['App']} IS NOT NULL AND {na['Translated_Review']} IS NOT NULL"
     out = [f"coalesce({e}, {lit(REVIEWS_FILL[c])}) AS {ident(c)}" if c in REVIEWS_FILL
            else f"{e} AS {ident(c)}" for c, e in na.items()]
-    return raw.where(keep).selectExpr(*out)
+    return select_sql(raw, out, keep)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from storelens.functions import md5_key_sql, sentiment_score_sql
 from storelens.operators import distinct_on
+from storelens.functions.sql import project
 
 DIM_APPS_GROUP = (
     "app_name", "app_size_bytes", "app_price", "content_rating",
@@ -23,13 +24,13 @@ def dim_apps(stg_apps: DataFrame) -> DataFrame:
     """Distinct app versions with app_id = md5(app_name‖current_version).
     app_id is not unique: rows differing in other columns keep the same id."""
     return (distinct_on(stg_apps, DIM_APPS_GROUP)
-            .selectExpr(f"{md5_key_sql('app_name', 'current_version')} AS app_id", *DIM_APPS_GROUP))
+            .transform(project, f"{md5_key_sql('app_name', 'current_version')} AS app_id", *DIM_APPS_GROUP))
 
 
 def dim_categories(stg_apps: DataFrame) -> DataFrame:
     """Distinct (category, genres) with category_id = md5(category‖genres)."""
     pairs = distinct_on(stg_apps.where("app_category IS NOT NULL"), ("app_category", "app_genres"))
-    return pairs.selectExpr(f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
+    return pairs.transform(project, f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
                             "app_category", "app_genres")
 
 
@@ -73,7 +74,7 @@ def fact_app_metrics_keyed(stg_apps: DataFrame, stg_reviews: DataFrame) -> DataF
     consumers select: mean rating, largest installs and price, and the review
     metrics of the app name."""
     keyed = (stg_apps
-             .selectExpr(f"{md5_key_sql('app_name', 'current_version')} AS app_id", "app_name",
+             .transform(project, f"{md5_key_sql('app_name', 'current_version')} AS app_id", "app_name",
                          f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
                          "app_price", "app_rating", "installs_int")
              .groupBy("app_id", "app_name", "category_id")

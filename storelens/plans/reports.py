@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.operators import equal_width_histogram, top_k
+from storelens.functions.sql import project
 
 
 def top_rated(fact_keyed: DataFrame, dim_apps_df: DataFrame, n: int = 5) -> DataFrame:
@@ -20,7 +21,7 @@ def top_rated(fact_keyed: DataFrame, dim_apps_df: DataFrame, n: int = 5) -> Data
     names = dim_apps_df.groupBy("app_id", "app_name").agg(F.expr("count(1)").alias("_n"))
     rows = (fact_keyed.select("app_id", "average_user_rating")
             .join(names, "app_id")
-            .selectExpr("app_id", "app_name", "average_user_rating",
+            .transform(project, "app_id", "app_name", "average_user_rating",
                         f"explode(sequence(1L, least(_n, {int(n)}L))) AS _copy"))
     best = top_k(rows, n, [F.col("average_user_rating").desc_nulls_last()],
                  ties=["app_name", "app_id"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from storelens.functions.sql import select_sql
 from storelens.functions import (
     ident,
     iso_date_sql,
@@ -33,8 +34,7 @@ def stg_apps(clean: DataFrame) -> DataFrame:
     """Landed apps -> staging: sizes in bytes, ISO dates, row key
     md5(App‖Last_Updated‖Current_Ver) over the raw texts."""
     installs = _bigint(clean, "Installs")
-    return (clean.where(f"`App` IS NOT NULL AND {installs} IS NOT NULL")
-            .selectExpr(
+    return select_sql(clean, [
                 "`App` AS app_name",
                 "`Category` AS app_category",
                 f"{_double(clean, 'Rating')} AS app_rating",
@@ -49,18 +49,17 @@ def stg_apps(clean: DataFrame) -> DataFrame:
                 "`Current_Ver` AS current_version",
                 "`Android_Ver` AS android_version",
                 f"{md5_key_sql('`App`', '`Last_Updated`', '`Current_Ver`')} AS source_unique_key",
-            ))
+            ], where=f"`App` IS NOT NULL AND {installs} IS NOT NULL")
 
 
 def stg_reviews(clean: DataFrame) -> DataFrame:
     """Landed reviews -> staging: scores as doubles (NULL token or malformed
     text -> NULL), row key md5(App‖Translated_Review)."""
-    return (clean.where("`Translated_Review` IS NOT NULL")
-            .selectExpr(
+    return select_sql(clean, [
                 "`App` AS app_name",
                 "`Translated_Review` AS review_text",
                 "`Sentiment` AS review_sentiment",
                 f"{text_score_sql('`Sentiment_Subjectivity`')} AS subjectivity",
                 f"{text_score_sql('`Sentiment_Polarity`')} AS polarity",
                 f"{md5_key_sql('`App`', '`Translated_Review`')} AS source_unique_key",
-            ))
+            ], where="`Translated_Review` IS NOT NULL")

@@ -3,13 +3,18 @@
 The projection is a fixed mapping (see FIXTURES.md §4): ``part`` rows become
 app listings and ``lineitem`` rows become reviews of the part's app.  It
 deliberately produces NULL tokens, malformed numbers, both date styles,
-duplicate names and names equal to genres.  One ``selectExpr`` per table;
+duplicate names and names equal to genres.  One SQL projection per table;
 Catalyst prunes ``part``/``lineitem`` to the columns a query uses.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from storelens.functions.sql import select_sql
 
 # Fixed mapping (FIXTURES.md §4), one SQL expression per raw column.
 APPS_FROM_PART = (
@@ -49,12 +54,28 @@ REVIEWS_FROM_LINEITEM = (
 )
 
 
+_SCHEMAS: dict[tuple[str, int, int], T.StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The schema inferred on the first read of a file
+    version is reused, so later reads skip the footer-reading job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        st = os.stat(path)
+        key = (os.path.abspath(path), st.st_mtime_ns, st.st_size)
+    except OSError:  # not a local path: let Spark infer
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[key] = df.schema
+    return df
 
 
 def raw_apps_from_part(part: DataFrame) -> DataFrame:
-    return part.selectExpr(*APPS_FROM_PART)
+    return select_sql(part, APPS_FROM_PART)
 
 
 def raw_reviews_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -64,7 +85,7 @@ def raw_reviews_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame
     # Inner equi-join on the part key; AQE picks broadcast or sort-merge from
     # the measured size of ``part`` and splits skewed partitions at run time.
     j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
-    return j.selectExpr(*REVIEWS_FROM_LINEITEM)
+    return select_sql(j, REVIEWS_FROM_LINEITEM)
 
 
 def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
