@@ -201,7 +201,8 @@ def compact(n: str) -> str:
 
 def kpis(source: str, where: str = "TRUE") -> str:
     return with_ctes(f"""
-SELECT total_apps, avg_rating, total_installs, {compact('total_installs')} AS installs_display
+SELECT total_apps, avg_rating, total_installs, {compact('total_installs')} AS installs_display,
+ format('{{:,}}', total_apps) AS total_apps_display
 FROM (SELECT count(DISTINCT app_name) AS total_apps,
         coalesce(round(avg(average_user_rating), 2), CAST(0.0 AS DOUBLE)) AS avg_rating,
         CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions import bytes_to_mb_sql, compact_number_sql, lit
+from storelens.functions import bytes_to_mb_sql, compact_number_sql, lit, thousands_sql
 from storelens.operators import (
     exact_sample,
     expand_rows,
@@ -160,7 +160,8 @@ def for_category(df: DataFrame, category: str | None) -> DataFrame:
 
 def kpis(v: FrameView, category: str | None = None) -> DataFrame:
     """One row: total_apps (distinct names), avg_rating (mean rounded to 2,
-    0.0 when there is none), total_installs, installs_display."""
+    0.0 when there is none), total_installs, installs_display (compact) and
+    total_apps_display (thousands separators)."""
     a = for_category(v.apps, category)
     out = a.agg(
         F.expr("count(DISTINCT app_name)").alias("total_apps"),
@@ -171,7 +172,8 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
         "total_apps",
         "coalesce(round(_mean, 2), CAST(0.0 AS DOUBLE)) AS avg_rating",
         "CAST(_installs AS BIGINT) AS total_installs",
-        f"{compact_number_sql('_installs')} AS installs_display")
+        f"{compact_number_sql('_installs')} AS installs_display",
+        f"{thousands_sql('total_apps')} AS total_apps_display")
 
 
 def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
