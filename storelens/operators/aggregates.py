@@ -36,13 +36,14 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 20,
 
     For [0, 1] the arithmetic reduces exactly to ``floor(x * bins)`` and
     ``bin / bins``, so edges are not accumulated sums of a rounded width."""
-    x, span, base = ident(column), f"CAST({float(hi - lo)!r} AS DOUBLE)", f"CAST({float(lo)!r} AS DOUBLE)"
+    x = ident(column)
+    span, base = f"CAST({float(hi - lo)!r} AS DOUBLE)", f"CAST({float(lo)!r} AS DOUBLE)"
     b = f"greatest(least(floor(({x} - {base}) / {span} * {bins}), {bins - 1}L), 0L)"
     return (df.where(f"{x} IS NOT NULL")
             .groupBy(F.expr(b).alias("bin"))
             .agg(F.expr("count(1)").alias("n"))
             .transform(project, "bin", f"{base} + bin * {span} / {bins} AS bin_start",
-                        f"{base} + (bin + 1) * {span} / {bins} AS bin_end", "n"))
+                       f"{base} + (bin + 1) * {span} / {bins} AS bin_end", "n"))
 
 
 def weighted_mean(value: str, weight: str) -> Column:

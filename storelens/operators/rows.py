@@ -63,10 +63,11 @@ def expand_rows(df: DataFrame, count_col: str, chunk_rows: int = EXPAND_CHUNK_RO
     chunks = (
         df.where(f"{n} >= 1")
         .transform(project, *cols, f"{n} AS _n",
-                    f"explode(sequence(0L, ({n} - 1) div {size})) AS _chunk")
+                   f"explode(sequence(0L, ({n} - 1) div {size})) AS _chunk")
         .transform(project, *cols, f"least({size}, _n - _chunk * {size}) AS _chunk_rows",
-                    f"xxhash64({', '.join(cols)}, _chunk) AS _spread")
+                   f"xxhash64({', '.join(cols)}, _chunk) AS _spread")
         # explicit partition count: AQE does not coalesce it back into one task
         .repartition(partitions, "_spread")
     )
-    return chunks.transform(project, *cols, "explode(sequence(1L, _chunk_rows)) AS _copy").transform(project, *cols)
+    copies = chunks.transform(project, *cols, "explode(sequence(1L, _chunk_rows)) AS _copy")
+    return copies.transform(project, *cols)

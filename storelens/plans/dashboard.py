@@ -37,7 +37,7 @@ from storelens.operators import (
     weighted_sum,
     with_share,
 )
-from storelens.functions.sql import project
+from storelens.functions.sql import project, select_sql
 
 UNKNOWN_CATEGORY = "Unknown"
 
@@ -88,15 +88,14 @@ def dashboard_frame(inp: DashboardInputs) -> DataFrame:
     d = (inp.dim_apps.groupBy("app_id", "app_name", "app_size_bytes", "last_updated_date")
          .agg(F.expr("count(1)").alias("_n_dim")))
     f = inp.fact.transform(project, "app_id", "category_id", "app_price AS price",
-                            "average_user_rating", "total_installs", "total_reviews")
+                           "average_user_rating", "total_installs", "total_reviews")
     rows = (f.join(d, "app_id")
             .join(_categories(inp), "category_id")
             .join(_sentiment_counts(inp), "app_name", "left"))
     keep = [c for c in FRAME_COLUMNS if c != "app_size_mb"]
     rows = rows.transform(project, *keep, "_n_dim * _n_cat * coalesce(_n_rev, 1L) AS _mult")
-    return expand_rows(rows, "_mult").transform(project,
-        *keep, f"{bytes_to_mb_sql('app_size_bytes')} AS app_size_mb"
-    ).select(*FRAME_COLUMNS)
+    out = expand_rows(rows, "_mult")
+    return out.transform(project, *keep, f"{bytes_to_mb_sql('app_size_bytes')} AS app_size_mb")
 
 
 def frame_view(inp: DashboardInputs) -> FrameView:
@@ -106,17 +105,17 @@ def frame_view(inp: DashboardInputs) -> FrameView:
     # per-name totals from the per-sentiment counts: one pass over the reviews
     r = s.groupBy("app_name").agg(F.expr("sum(_n_rev)").alias("_n_any"))
     f = inp.fact.transform(project, "app_id", "category_id", "app_price AS price",
-                            "average_user_rating", "total_installs")
+                           "average_user_rating", "total_installs")
     base = (f.join(d, "app_id").join(_categories(inp), "category_id")
             .join(r, "app_name", "left")
             .transform(project, "app_name", "category_name", "price", "average_user_rating",
-                        "total_installs", "_n_any", "_n_dim * _n_cat AS _w_app"))
+                       "total_installs", "_n_any", "_n_dim * _n_cat AS _w_app"))
     apps = base.transform(project, "app_name", "category_name", "price", "average_user_rating",
-                           "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight")
+                          "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight")
     per_name = base.groupBy("app_name", "category_name").agg(F.expr("sum(_w_app)").alias("_m"))
     sentiments = (per_name.join(s, "app_name")
                   .transform(project, "app_name", "category_name", "review_sentiment",
-                              "_m * _n_rev AS weight"))
+                             "_m * _n_rev AS weight"))
     return FrameView(apps, sentiments)
 
 
@@ -125,11 +124,11 @@ def app_view(inp: DashboardInputs) -> FrameView:
     name), and each of its app's reviews counts once."""
     f = (inp.fact.join(_categories(inp), "category_id")
          .transform(project, "app_name", "category_name", "app_price AS price",
-                     "average_user_rating", "total_installs", "_n_cat AS weight"))
+                    "average_user_rating", "total_installs", "_n_cat AS weight"))
     per_name = f.groupBy("app_name", "category_name").agg(F.expr("sum(weight)").alias("_m"))
     sentiments = (per_name.join(_sentiment_counts(inp), "app_name")
                   .transform(project, "app_name", "category_name", "review_sentiment",
-                              "_m * _n_rev AS weight"))
+                             "_m * _n_rev AS weight"))
     return FrameView(f, sentiments)
 
 
@@ -137,7 +136,7 @@ def view_of_frame(frame: DataFrame) -> FrameView:
     """View of an already materialised frame (every row weight 1)."""
     return FrameView(
         frame.transform(project, "app_name", "category_name", "price", "average_user_rating",
-                         "total_installs", "1L AS weight"),
+                        "total_installs", "1L AS weight"),
         frame.transform(project, "app_name", "category_name", "review_sentiment", "1L AS weight"),
     )
 
@@ -168,12 +167,13 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
         weighted_mean("average_user_rating", "weight").alias("_mean"),
         weighted_sum("total_installs", "weight").alias("_installs"),
     )
-    return out.transform(project,
+    return select_sql(out, [
         "total_apps",
         "coalesce(round(_mean, 2), CAST(0.0 AS DOUBLE)) AS avg_rating",
         "CAST(_installs AS BIGINT) AS total_installs",
         f"{compact_number_sql('_installs')} AS installs_display",
-        f"{thousands_sql('total_apps')} AS total_apps_display")
+        f"{thousands_sql('total_apps')} AS total_apps_display",
+    ])
 
 
 def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
@@ -184,8 +184,8 @@ def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
     per_app = a.groupBy("app_name").agg(
         weighted_mean("average_user_rating", "weight").alias("average_user_rating"))
     if digits is not None:
-        per_app = per_app.transform(project,
-            "app_name", f"round(average_user_rating, {int(digits)}) AS average_user_rating")
+        per_app = select_sql(per_app, [
+            "app_name", f"round(average_user_rating, {int(digits)}) AS average_user_rating"])
     return top_k(per_app, n, [F.col("average_user_rating").desc_nulls_last()], ties=["app_name"])
 
 
@@ -198,8 +198,8 @@ def rating_vs_installs(v: FrameView, category: str | None = None) -> DataFrame:
                  weighted_sum("total_installs", "weight").alias("total_installs"),
                  F.expr("min(price)").alias("price"))
             .transform(project, "app_name", "average_user_rating",
-                        "CAST(total_installs AS BIGINT) AS total_installs", "price",
-                        "coalesce(CAST(price AS DOUBLE), CAST(0.0 AS DOUBLE)) AS price_numeric_viz"))
+                       "CAST(total_installs AS BIGINT) AS total_installs", "price",
+                       "coalesce(CAST(price AS DOUBLE), CAST(0.0 AS DOUBLE)) AS price_numeric_viz"))
 
 
 def rating_vs_installs_sample(v: FrameView, category: str | None = None,

@@ -24,14 +24,15 @@ def dim_apps(stg_apps: DataFrame) -> DataFrame:
     """Distinct app versions with app_id = md5(app_name‖current_version).
     app_id is not unique: rows differing in other columns keep the same id."""
     return (distinct_on(stg_apps, DIM_APPS_GROUP)
-            .transform(project, f"{md5_key_sql('app_name', 'current_version')} AS app_id", *DIM_APPS_GROUP))
+            .transform(project, f"{md5_key_sql('app_name', 'current_version')} AS app_id",
+                       *DIM_APPS_GROUP))
 
 
 def dim_categories(stg_apps: DataFrame) -> DataFrame:
     """Distinct (category, genres) with category_id = md5(category‖genres)."""
     pairs = distinct_on(stg_apps.where("app_category IS NOT NULL"), ("app_category", "app_genres"))
     return pairs.transform(project, f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
-                            "app_category", "app_genres")
+                           "app_category", "app_genres")
 
 
 def review_metrics(stg_reviews: DataFrame) -> DataFrame:
@@ -74,9 +75,10 @@ def fact_app_metrics_keyed(stg_apps: DataFrame, stg_reviews: DataFrame) -> DataF
     consumers select: mean rating, largest installs and price, and the review
     metrics of the app name."""
     keyed = (stg_apps
-             .transform(project, f"{md5_key_sql('app_name', 'current_version')} AS app_id", "app_name",
-                         f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
-                         "app_price", "app_rating", "installs_int")
+             .transform(project, f"{md5_key_sql('app_name', 'current_version')} AS app_id",
+                        "app_name",
+                        f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
+                        "app_price", "app_rating", "installs_int")
              .groupBy("app_id", "app_name", "category_id")
              .agg(F.expr("max(app_price)").alias("app_price"),
                   F.expr("avg(app_rating)").alias("average_user_rating"),

@@ -24,7 +24,7 @@ from storelens.sources import (
     read_table,
 )
 from storelens.sources.schemas import REVIEWS_COLUMNS
-from storelens.functions.sql import project
+from storelens.functions.sql import select_sql
 
 DIGITS = 6
 FILTER_CATEGORY = "PROMO"
@@ -35,7 +35,7 @@ REQUIRED_FRAME_COLUMNS = (
 
 
 def _r(df: DataFrame, *cols: str) -> DataFrame:
-    return df.transform(project, *[f"round({c}, {DIGITS}) AS {c}" if c in cols else c for c in df.columns])
+    return select_sql(df, [f"round({c}, {DIGITS}) AS {c}" if c in cols else c for c in df.columns])
 
 
 class Models:
