@@ -33,13 +33,14 @@ def top_k(df: DataFrame, n: int, order: Sequence[Column], ties: Sequence[str] =
 def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, uniformly chosen, without replacement.
 
-    Rows are ranked by a seeded hash of their key, so the choice does not
-    depend on partitioning and a retried task picks the same rows; the top-n
-    runs as a bounded TakeOrderedAndProject (``df.sample`` is only
-    approximate in size).
+    Rows are ranked by md5 of ``seed|key...``: the choice does not depend on
+    partitioning, a retried task picks the same rows, and any engine with
+    md5 can reproduce the sample.  The top-n runs as a bounded
+    TakeOrderedAndProject (``df.sample`` is only approximate in size).
     """
-    keys = ", ".join(ident(k) for k in key)
-    return (df.withColumn("_sample_rank", F.expr(f"xxhash64({int(seed)}, {keys})"))
+    keys = ", ".join(f"coalesce(CAST({ident(k)} AS STRING), '')" for k in key)
+    rank = F.expr(f"md5(concat_ws('|', '{int(seed)}', {keys}))")
+    return (df.withColumn("_sample_rank", rank)
             .orderBy(F.col("_sample_rank"), *[F.col(k).asc_nulls_last() for k in key])
             .limit(n).drop("_sample_rank"))
 

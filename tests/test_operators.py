@@ -96,3 +96,17 @@ def test_is_empty(spark):
 def test_distinct_on_groups_nulls(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("a", 1)], "k string, v int")
     assert op.distinct_on(df, ["k", "v"]).count() == 2
+
+
+def test_exact_sample_matches_md5_ranking_in_duckdb(spark):
+    import duckdb
+    names = [f"app {i}" for i in range(400)]
+    df = spark.createDataFrame([(n,) for n in names], "app_name string")
+    got = sorted(r.app_name for r in op.exact_sample(df, 50, ["app_name"], seed=0).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(app_name VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?)", [(n,) for n in names])
+    exp = sorted(r[0] for r in con.execute(
+        "SELECT app_name FROM t ORDER BY md5(concat_ws('|', '0', app_name)), app_name LIMIT 50"
+    ).fetchall())
+    assert got == exp
