@@ -81,10 +81,13 @@ def _sentiment_counts(inp: DashboardInputs) -> DataFrame:
     return inp.reviews.groupBy("app_name", "review_sentiment").agg(F.expr("count(1)").alias("_n_rev"))
 
 
-def dashboard_frame(inp: DashboardInputs) -> DataFrame:
+def dashboard_frame(inp: DashboardInputs, partitions: int | None = None) -> DataFrame:
     """The frame's rows (M10), with ``app_size_mb`` = size in MiB (0 when
     unknown).  Joins run on the reduced inputs; the copies are generated
-    last by ``expand_rows``, which splits hot groups across tasks."""
+    last by ``expand_rows``, which splits hot groups across tasks.
+    ``partitions`` sizes the output (default: the shuffle-partition setting);
+    the frame is many times larger than its inputs, so size it for the
+    expected row count when materialising it at scale."""
     d = (inp.dim_apps.groupBy("app_id", "app_name", "app_size_bytes", "last_updated_date")
          .agg(F.expr("count(1)").alias("_n_dim")))
     f = inp.fact.transform(project, "app_id", "category_id", "app_price AS price",
@@ -94,7 +97,7 @@ def dashboard_frame(inp: DashboardInputs) -> DataFrame:
             .join(_sentiment_counts(inp), "app_name", "left"))
     keep = [c for c in FRAME_COLUMNS if c != "app_size_mb"]
     rows = rows.transform(project, *keep, "_n_dim * _n_cat * coalesce(_n_rev, 1L) AS _mult")
-    out = expand_rows(rows, "_mult")
+    out = expand_rows(rows, "_mult", partitions=partitions)
     return out.transform(project, *keep, f"{bytes_to_mb_sql('app_size_bytes')} AS app_size_mb")
 
 
