@@ -59,10 +59,17 @@ def as_column(builder: Callable[..., str]) -> Callable[..., Column]:
     return column_fn
 
 
+# Above this many expressions one SQL statement (fixed cost: a temporary view
+# and a parse) is cheaper than ``selectExpr`` (one driver call per expression).
+WIDE_PROJECTION = 7
+
+
 def select_sql(df: DataFrame, exprs: Sequence[str], where: str | None = None) -> DataFrame:
-    """``SELECT exprs FROM df [WHERE where]`` as one SQL statement over the
-    DataFrame (one parse and analysis, instead of one driver call per
-    expression as ``selectExpr`` needs)."""
+    """``SELECT exprs FROM df [WHERE where]``.  Wide projections go through
+    one SQL statement over the DataFrame, narrow ones through ``selectExpr``;
+    the analysed plan is the same either way."""
+    if len(exprs) < WIDE_PROJECTION:
+        return (df.where(where) if where else df).selectExpr(*exprs)
     body = "SELECT " + ", ".join(exprs) + " FROM __src__"
     if where:
         body += f" WHERE {where}"
