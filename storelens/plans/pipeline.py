@@ -3,12 +3,14 @@
 Each model is written as a table under ``out_dir`` and read back before the
 next layer, like a warehouse run: lineage is cut at every layer, and a lost
 executor costs at most the layer being built (the finished ones sit on shared
-storage).  Both ingest branches are lazy plans, so they need no explicit
-parallelism.
+storage).  Independent models of a layer are written concurrently.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation
 
 from storelens.plans.ingest import clean_apps, clean_reviews
@@ -29,9 +31,13 @@ MODEL_ORDER = (
 
 
 def run_pipeline(raw_apps: DataFrame, raw_reviews: DataFrame, out_dir: str,
-                 fmt: str = "parquet", report: dict[str, int] | None = None
-                 ) -> dict[str, DataFrame]:
+                 fmt: str = "parquet", report: dict[str, int] | None = None,
+                 max_parallel: int = 4) -> dict[str, DataFrame]:
     """Build every model; returns name -> DataFrame read from its table.
+
+    Models of one layer do not depend on each other, so their writes are
+    submitted as concurrent Spark jobs (up to ``max_parallel``), like the
+    parallel ingest branches of the original DAG; layers run in order.
     ``report``, when given, receives the landed row counts, observed during
     the landing writes (no extra pass)."""
     out = out_dir.rstrip("/")
@@ -39,20 +45,30 @@ def run_pipeline(raw_apps: DataFrame, raw_reviews: DataFrame, out_dir: str,
     obs = {"apps_landed": Observation("apps_landed"),
            "reviews_landed": Observation("reviews_landed")}
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        t[name] = materialize(df, name, "table", path=f"{out}/{name}", fmt=fmt)
-        return t[name]
+    def layer(builders: dict[str, Callable[[], DataFrame]]) -> None:
+        with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(builders)))) as pool:
+            futures = {name: pool.submit(build) for name, build in builders.items()}
+            for name, fut in futures.items():
+                t[name] = fut.result()
+
+    def model(name: str, df: DataFrame) -> Callable[[], DataFrame]:
+        return lambda: materialize(df, name, "table", path=f"{out}/{name}", fmt=fmt)
 
-    t["apps_landed"] = land_table(clean_apps(raw_apps), f"{out}/apps_landed",
-                                  schema=APPS_CLEAN, fmt=fmt, observation=obs["apps_landed"])
-    t["reviews_landed"] = land_table(clean_reviews(raw_reviews), f"{out}/reviews_landed",
-                                     fmt=fmt, observation=obs["reviews_landed"])
+    layer({
+        "apps_landed": lambda: land_table(clean_apps(raw_apps), f"{out}/apps_landed",
+                                          schema=APPS_CLEAN, fmt=fmt,
+                                          observation=obs["apps_landed"]),
+        "reviews_landed": lambda: land_table(clean_reviews(raw_reviews), f"{out}/reviews_landed",
+                                             fmt=fmt, observation=obs["reviews_landed"]),
+    })
     if report is not None:
         report.update({k: int(o.get["rows"]) for k, o in obs.items()})
-    sa = put("stg_apps", stg_apps(t["apps_landed"]))
-    sr = put("stg_reviews", stg_reviews(t["reviews_landed"]))
-    da = put("dim_apps", dim_apps(sa))
-    dc = put("dim_categories", dim_categories(sa))
-    put("fact_app_metrics", fact_app_metrics(da, dc, sr))
-    put("fact_app_metrics_keyed", fact_app_metrics_keyed(sa, sr))
-    return t
+    layer({"stg_apps": model("stg_apps", stg_apps(t["apps_landed"])),
+           "stg_reviews": model("stg_reviews", stg_reviews(t["reviews_landed"]))})
+    sa, sr = t["stg_apps"], t["stg_reviews"]
+    layer({"dim_apps": model("dim_apps", dim_apps(sa)),
+           "dim_categories": model("dim_categories", dim_categories(sa)),
+           "fact_app_metrics_keyed": model("fact_app_metrics_keyed", fact_app_metrics_keyed(sa, sr))})
+    layer({"fact_app_metrics": model("fact_app_metrics",
+                                     fact_app_metrics(t["dim_apps"], t["dim_categories"], sr))})
+    return {name: t[name] for name in MODEL_ORDER}
