@@ -160,7 +160,8 @@ cte("frame", ("fact_keyed", "dim_apps", "dim_categories", "stg_reviews"), """
 SELECT da.app_name, dc.app_category AS category_name, da.app_size_bytes,
  fm.app_price AS price, fm.average_user_rating, fm.total_installs, fm.total_reviews,
  da.last_updated_date, sr.review_sentiment,
- coalesce(da.app_size_bytes, CAST(0 AS DOUBLE)) / CAST(1048576 AS DOUBLE) AS app_size_mb
+ CASE WHEN da.app_size_bytes IS NULL OR isnan(da.app_size_bytes) OR isinf(da.app_size_bytes)
+      THEN CAST(0 AS DOUBLE) ELSE da.app_size_bytes / CAST(1048576 AS DOUBLE) END AS app_size_mb
 FROM fact_keyed fm
 JOIN dim_apps da ON fm.app_id = da.app_id
 JOIN dim_categories dc ON fm.category_id = dc.category_id

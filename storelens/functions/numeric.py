@@ -69,8 +69,10 @@ def text_score_sql(x: str, null_token: str = "NULL") -> str:
 
 
 def bytes_to_mb_sql(x: str) -> str:
-    """Bytes -> MiB with a missing size counted as 0."""
-    return f"coalesce(CAST({x} AS DOUBLE), CAST(0.0 AS DOUBLE)) / CAST({MB} AS DOUBLE)"
+    """Bytes -> MiB; a missing, NaN or infinite size counts as 0."""
+    v = f"CAST({x} AS DOUBLE)"
+    return (f"CASE WHEN {v} IS NULL OR isnan({v}) OR abs({v}) = CAST('Infinity' AS DOUBLE) "
+            f"THEN CAST(0.0 AS DOUBLE) ELSE {v} / CAST({MB} AS DOUBLE) END")
 
 
 def number_or_zero_sql(x: str) -> str:

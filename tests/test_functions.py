@@ -75,8 +75,8 @@ def test_sentiment_score(spark):
 
 
 def test_bytes_to_mb(spark):
-    assert one_col(spark, [1048576.0, None, 8704.0], sf.bytes_to_mb, "double") == [
-        1.0, 0.0, 0.00830078125]
+    assert one_col(spark, [1048576.0, None, 8704.0, float("inf"), float("nan")],
+                   sf.bytes_to_mb, "double") == [1.0, 0.0, 0.00830078125, 0.0, 0.0]
 
 
 @pytest.mark.parametrize("n,text", [
