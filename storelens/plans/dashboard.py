@@ -110,11 +110,11 @@ def frame_view(inp: DashboardInputs) -> FrameView:
     f = inp.fact.transform(project, "app_id", "category_id", "app_price AS price",
                            "average_user_rating", "total_installs")
     base = (f.join(d, "app_id").join(_categories(inp), "category_id")
-            .join(r, "app_name", "left")
             .transform(project, "app_name", "category_name", "price", "average_user_rating",
-                       "total_installs", "_n_any", "_n_dim * _n_cat AS _w_app"))
-    apps = base.transform(project, "app_name", "category_name", "price", "average_user_rating",
-                          "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight")
+                       "total_installs", "_n_dim * _n_cat AS _w_app"))
+    apps = (base.join(r, "app_name", "left")
+            .transform(project, "app_name", "category_name", "price", "average_user_rating",
+                       "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight"))
     per_name = base.groupBy("app_name", "category_name").agg(F.expr("sum(_w_app)").alias("_m"))
     sentiments = (per_name.join(s, "app_name")
                   .transform(project, "app_name", "category_name", "review_sentiment",
