@@ -57,8 +57,11 @@ def expand_rows(df: DataFrame, count_col: str, chunk_rows: int = EXPAND_CHUNK_RO
     """
     spark = df.sparkSession
     if partitions is None:
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                         spark.sparkContext.defaultParallelism)
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        try:
+            partitions = max(partitions, spark.sparkContext.defaultParallelism)
+        except Exception:  # Spark Connect: no SparkContext on the client
+            pass
     cols = [ident(c) for c in df.columns if c != count_col]
     n, size = f"CAST({ident(count_col)} AS BIGINT)", f"{int(chunk_rows)}L"
     chunks = (
