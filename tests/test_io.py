@@ -147,3 +147,17 @@ def test_streaming_landing_reviews(spark, tmp_dir):
     got = sorted(map(tuple, spark.read.parquet(out).collect()), key=str)
     exp = sorted(map(tuple, plans.clean_reviews(raw_reviews(spark)).collect()), key=str)
     assert got == exp
+
+
+def test_command_line_pipeline_and_reports(spark, tmp_dir, capsys):
+    from storelens.__main__ import main
+    write_apps_csv(os.path.join(tmp_dir, "apps.csv"))
+    write_reviews_csv(os.path.join(tmp_dir, "reviews.csv"))
+    wh = os.path.join(tmp_dir, "warehouse")
+    assert main(["pipeline", "--apps", os.path.join(tmp_dir, "apps.csv"),
+                 "--reviews", os.path.join(tmp_dir, "reviews.csv"), "--out", wh]) == 0
+    assert main(["top-rated", "--warehouse", wh]) == 0
+    assert main(["report", "--warehouse", wh, "--category", "GAME"]) == 0
+    out = capsys.readouterr().out
+    assert "landed 6 apps and 6 reviews" in out
+    assert "Alpha" in out and "== kpis" in out and "== sentiment_distribution" in out
