@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.operators import is_empty
 from storelens.sources.schemas import CSV_NULL_TOKEN
 
 
@@ -47,20 +46,30 @@ def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
     return spark.table(target)
 
 
+def _csv_writer(df: DataFrame):
+    return (df.write.mode("overwrite")
+            .option("header", True)
+            .option("nullValue", CSV_NULL_TOKEN)
+            .option("quote", '"')
+            .option("escape", '"'))
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False,
-               header_when_empty: bool = True) -> None:
-    """CSV with a header row, missing values written as the NULL token.
-    Many part files by default; ``single_file`` gathers into one task (only
-    for small exports).  An empty frame still gets a header-only file."""
-    out = df
-    if single_file or (header_when_empty and is_empty(df)):
-        out = df.coalesce(1)
-    (out.write.mode("overwrite")
-     .option("header", True)
-     .option("nullValue", CSV_NULL_TOKEN)
-     .option("quote", '"')
-     .option("escape", '"')
-     .csv(path))
+               header_when_empty: bool = True) -> int:
+    """CSV with a header row, missing values written as the NULL token;
+    returns the number of rows written.  Many part files by default;
+    ``single_file`` gathers into one task (only for small exports).
+
+    Rows are counted while they are written (no pre-check pass).  When
+    nothing was written and ``header_when_empty``, the folder is replaced by
+    a single header-only file, planned from an empty relation."""
+    obs = Observation("csv_export")
+    out = df.coalesce(1) if single_file else df
+    _csv_writer(out.observe(obs, F.count(F.lit(1)).alias("rows"))).csv(path)
+    rows = int(obs.get["rows"])
+    if rows == 0 and header_when_empty:
+        _csv_writer(df.limit(0).coalesce(1)).csv(path)
+    return rows
 
 
 def materialize(df: DataFrame, name: str, materialized: str = "table",
