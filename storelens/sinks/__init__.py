@@ -23,7 +23,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
-               fmt: str = "parquet", observation: Observation | None = None) -> DataFrame:
+               fmt: str = "parquet", observation: Observation | None = None,
+               options: dict[str, str] | None = None) -> DataFrame:
     """Full-refresh landing: the target is replaced by exactly ``df``'s rows
     (an empty frame leaves an empty table, never the old rows).  ``target``
     is a path or a catalog table name.  Returns a fresh read of the target,
@@ -31,13 +32,20 @@ def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
 
     With an ``observation``, the written row count is collected during the
     write itself (``observation.get["rows"]``) — no second pass over the data.
+
+    ``fmt``/``options`` select any Spark data source, e.g. ``fmt="jdbc"`` with
+    ``{"url": ..., "dbtable": ...}`` to land in a relational store (then
+    ``target`` is only a label and the same options read the table back).
     """
     if schema is not None:
         df = conform(df, schema)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
     spark = df.sparkSession
+    if options and ("dbtable" in options or "collection" in options):
+        w.save()
+        return spark.read.format(fmt).options(**options).load()
     if _is_path(target):
         w.save(target)
         # the written schema is known: no inference pass over the new files
