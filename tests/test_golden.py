@@ -182,3 +182,12 @@ def test_weighted_views_equal_materialised_frame(g):
         a = sorted(map(tuple, fn(frame_v).collect()))
         b = sorted(map(tuple, fn(row_v).collect()))
         assert a == b, fn.__name__
+
+
+def test_clean_reviews_drops_store_id(spark):
+    from pyspark.sql import functions as F
+    from tests.fixtures import raw_reviews
+    with_id = raw_reviews(spark).withColumn("_id", F.monotonically_increasing_id().cast("string"))
+    out = plans.clean_reviews(with_id)
+    assert "_id" not in out.columns
+    assert out.count() == 6
