@@ -21,7 +21,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with AQE (partition coalescing, skew-join splitting,
+    """A session with AQE (partition coalescing by size, skew-join splitting,
     runtime broadcast conversion) switched on and the UI off."""
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -29,6 +29,9 @@ def build_session(
     conf = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # coalesce to the advisory partition size (64 MB) rather than keeping
+        # one partition per core: no floods of tiny tasks on a shared cluster
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
