@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.sources.schemas import (
-    APPS_CSV_HEADER,
+    APPS_COLUMNS,
     APPS_RENAME,
     CSV_NULL_TOKEN,
     REVIEWS_COLUMNS,
@@ -20,9 +20,10 @@ from storelens.sources.schemas import (
 
 
 def _reader(spark: SparkSession, columns, multiline: bool, null_value: str | None):
+    r = spark.read if columns is None else spark.read.schema(all_strings(columns))
     r = (
-        spark.read.schema(all_strings(columns))
-        .option("header", True)
+        r.option("header", True)
+        .option("inferSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
@@ -42,15 +43,23 @@ def normalize_header(df: DataFrame, rename: dict[str, str] | None = None) -> Dat
     return df.withColumnsRenamed({k: v for k, v in (rename or {}).items() if k in df.columns})
 
 
+def _require(df: DataFrame, columns, what: str) -> DataFrame:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what}: columns missing from the header: {missing}")
+    return df
+
+
 def read_apps_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Raw app listings, header names trimmed and renamed."""
-    df = _reader(spark, APPS_CSV_HEADER, multiline, None).csv(path)
-    return normalize_header(df, APPS_RENAME)
+    """Raw app listings, header names trimmed and renamed, all text."""
+    df = normalize_header(_reader(spark, None, multiline, None).csv(path), APPS_RENAME)
+    return _require(df, APPS_COLUMNS, path)
 
 
 def read_reviews_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Raw user reviews."""
-    return normalize_header(_reader(spark, REVIEWS_COLUMNS, multiline, None).csv(path))
+    """Raw user reviews, all text."""
+    df = normalize_header(_reader(spark, None, multiline, None).csv(path))
+    return _require(df, REVIEWS_COLUMNS, path)
 
 
 def read_seed_csv(spark: SparkSession, path: str, columns, multiline: bool = True) -> DataFrame:

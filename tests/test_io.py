@@ -161,3 +161,21 @@ def test_command_line_pipeline_and_reports(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "landed 6 apps and 6 reviews" in out
     assert "Alpha" in out and "== kpis" in out and "== sentiment_distribution" in out
+
+
+def test_apps_csv_is_read_by_header_name(spark, tmp_dir):
+    # same rows, columns in another order: the result must not change
+    import csv
+    src = os.path.join(tmp_dir, "apps.csv")
+    write_apps_csv(src)
+    with open(src, newline="", encoding="utf-8") as f:
+        rows = list(csv.reader(f))
+    order = list(reversed(range(len(rows[0]))))
+    shuffled = os.path.join(tmp_dir, "apps_reordered.csv")
+    with open(shuffled, "w", newline="", encoding="utf-8") as f:
+        w = csv.writer(f)
+        for r in rows:
+            w.writerow([r[i] for i in order])
+    a = sorted(map(tuple, plans.clean_apps(read_apps_csv(spark, src)).collect()), key=str)
+    b = sorted(map(tuple, plans.clean_apps(read_apps_csv(spark, shuffled)).collect()), key=str)
+    assert a == b
