@@ -189,6 +189,18 @@ def with_ctes(body: str, *roots: str) -> str:
     return f"WITH {parts}\n{body}"
 
 
+def exact_mean(col: str, digits: int, scale: int = 6) -> str:
+    """Mean rounded half away from zero to ``digits`` decimals, computed in
+    integer 10**-scale units (order-independent)."""
+    units = f"CAST(round({col} * {10 ** scale}) AS HUGEINT)"
+    total = f"sum({units})"
+    count = f"CAST(count({col}) AS HUGEINT)"
+    step = 10 ** (scale - digits)
+    half = f"((2 * abs({total}) + {count} * {step}) // (2 * {count} * {step}))"
+    return (f"(CASE WHEN {count} > 0 THEN CAST(CASE WHEN {total} < 0 THEN -{half} ELSE {half} END "
+            f"AS DOUBLE) / {10 ** digits} END)")
+
+
 def compact(n: str) -> str:
     """Compact count text, tenths rounded half-up in integers."""
     def unit(d: int, s: str) -> str:
@@ -205,7 +217,7 @@ def kpis(source: str, where: str = "TRUE") -> str:
 SELECT total_apps, avg_rating, total_installs, {compact('total_installs')} AS installs_display,
  format('{{:,}}', total_apps) AS total_apps_display
 FROM (SELECT count(DISTINCT app_name) AS total_apps,
-        coalesce(round(avg(average_user_rating), 2), CAST(0.0 AS DOUBLE)) AS avg_rating,
+        coalesce({exact_mean('average_user_rating', 2)}, CAST(0.0 AS DOUBLE)) AS avg_rating,
         CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs
       FROM {source} WHERE {where}) k""", source)
 
@@ -217,7 +229,7 @@ def cat(c: str) -> str:
 def top_rated_apps(where: str = "TRUE") -> str:
     return with_ctes(f"""
 SELECT app_name, average_user_rating FROM (
-  SELECT app_name, round(avg(average_user_rating), 6) AS average_user_rating
+  SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating
   FROM frame WHERE {where} GROUP BY app_name) g
 ORDER BY average_user_rating DESC NULLS LAST, app_name ASC NULLS LAST
 LIMIT 10""", "frame")
@@ -254,13 +266,13 @@ LIMIT 5""", "fact_keyed", "dim_apps"),
     "kpis_unknown": kpis("frame", cat("Unknown")),
     "top_rated_apps": top_rated_apps(),
     "top_rated_apps_category": top_rated_apps(cat("PROMO")),
-    "rating_vs_installs": with_ctes("""
-SELECT app_name, round(avg(average_user_rating), 6) AS average_user_rating,
+    "rating_vs_installs": with_ctes(f"""
+SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating,
  CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs,
  min(price) AS price, coalesce(min(price), CAST(0.0 AS DOUBLE)) AS price_numeric_viz
 FROM frame GROUP BY app_name""", "frame"),
-    "rating_vs_installs_sample": with_ctes("""
-SELECT app_name, round(avg(average_user_rating), 6) AS average_user_rating,
+    "rating_vs_installs_sample": with_ctes(f"""
+SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating,
  CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs,
  min(price) AS price, coalesce(min(price), CAST(0.0 AS DOUBLE)) AS price_numeric_viz
 FROM frame GROUP BY app_name

@@ -57,3 +57,24 @@ def weighted_sum(value: str, weight: str) -> Column:
     """sum(value * weight), 0 when there is nothing to add (pandas rule)."""
     v, w = ident(value), ident(weight)
     return F.expr(f"coalesce(sum({v} * {w}), 0L)")
+
+
+def rounded_mean(value: str, weight: str, digits: int, scale: int = 6) -> Column:
+    """Mean of ``value`` over ``weight`` copies, rounded half away from zero
+    to ``digits`` decimals, computed exactly: each value is taken as an
+    integer number of 10**-scale units, the weighted sums are exact decimals
+    and the one division is an integer division.  The result does not depend
+    on summation order (a plain double mean can land on either side of a
+    rounding half when rows are summed in a different order)."""
+    if not 0 <= digits <= scale:
+        raise ValueError("need 0 <= digits <= scale")
+    v, w = ident(value), ident(weight)
+    units = f"CAST(round({v} * {10 ** scale}D) AS DECIMAL(38, 0))"
+    total = f"sum({units} * CAST({w} AS DECIMAL(38, 0)))"
+    count = f"CAST(sum(CASE WHEN {v} IS NOT NULL THEN {w} END) AS DECIMAL(38, 0))"
+    step = 10 ** (scale - digits)
+    half_up = f"((2 * abs({total}) + {count} * {step}) div (2 * {count} * {step}))"
+    return F.expr(
+        f"CASE WHEN {count} > 0 THEN "
+        f"CAST(CASE WHEN {total} < 0 THEN -{half_up} ELSE {half_up} END AS DOUBLE) "
+        f"/ {10 ** digits}D END")

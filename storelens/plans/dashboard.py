@@ -32,6 +32,7 @@ from storelens.functions import bytes_to_mb_sql, compact_number_sql, lit, thousa
 from storelens.operators import (
     exact_sample,
     expand_rows,
+    rounded_mean,
     top_k,
     weighted_mean,
     weighted_sum,
@@ -160,19 +161,24 @@ def for_category(df: DataFrame, category: str | None) -> DataFrame:
     return df.where(f"coalesce(category_name, {lit(UNKNOWN_CATEGORY)}) = {lit(category)}")
 
 
+def _mean(column: str, digits: int | None):
+    m = weighted_mean(column, "weight") if digits is None else rounded_mean(column, "weight", digits)
+    return m.alias(column)
+
+
 def kpis(v: FrameView, category: str | None = None) -> DataFrame:
-    """One row: total_apps (distinct names), avg_rating (mean rounded to 2,
-    0.0 when there is none), total_installs, installs_display (compact) and
+    """One row: total_apps (distinct names), avg_rating (mean rounded half-up
+    to 2 decimals, computed exactly; 0.0 when there is none), total_installs, installs_display (compact) and
     total_apps_display (thousands separators)."""
     a = for_category(v.apps, category)
     out = a.agg(
         F.expr("count(DISTINCT app_name)").alias("total_apps"),
-        weighted_mean("average_user_rating", "weight").alias("_mean"),
+        rounded_mean("average_user_rating", "weight", 2).alias("_mean"),
         weighted_sum("total_installs", "weight").alias("_installs"),
     )
     return select_sql(out, [
         "total_apps",
-        "coalesce(round(_mean, 2), CAST(0.0 AS DOUBLE)) AS avg_rating",
+        "coalesce(_mean, CAST(0.0 AS DOUBLE)) AS avg_rating",
         "CAST(_installs AS BIGINT) AS total_installs",
         f"{compact_number_sql('_installs')} AS installs_display",
         f"{thousands_sql('total_apps')} AS total_apps_display",
@@ -182,22 +188,21 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
 def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
                    digits: int | None = None) -> DataFrame:
     """Mean rating per app name, the ``n`` best (NULL means last, ties by
-    name).  ``digits`` rounds the mean before ranking (display precision)."""
+    name).  With ``digits`` the mean is rounded (exactly, see
+    ``operators.rounded_mean``) before ranking."""
     a = for_category(v.apps, category)
-    per_app = a.groupBy("app_name").agg(
-        weighted_mean("average_user_rating", "weight").alias("average_user_rating"))
-    if digits is not None:
-        per_app = select_sql(per_app, [
-            "app_name", f"round(average_user_rating, {int(digits)}) AS average_user_rating"])
+    per_app = a.groupBy("app_name").agg(_mean("average_user_rating", digits))
     return top_k(per_app, n, [F.col("average_user_rating").desc_nulls_last()], ties=["app_name"])
 
 
-def rating_vs_installs(v: FrameView, category: str | None = None) -> DataFrame:
-    """Per app name: mean rating, summed installs, a price (the smallest;
-    any row's price is acceptable) and its plotting value."""
+def rating_vs_installs(v: FrameView, category: str | None = None,
+                       digits: int | None = None) -> DataFrame:
+    """Per app name: mean rating (rounded exactly when ``digits`` is given),
+    summed installs, a price (the smallest; any row's price is acceptable)
+    and its plotting value."""
     a = for_category(v.apps, category)
     return (a.groupBy("app_name")
-            .agg(weighted_mean("average_user_rating", "weight").alias("average_user_rating"),
+            .agg(_mean("average_user_rating", digits),
                  weighted_sum("total_installs", "weight").alias("total_installs"),
                  F.expr("min(price)").alias("price"))
             .transform(project, "app_name", "average_user_rating",
@@ -206,9 +211,10 @@ def rating_vs_installs(v: FrameView, category: str | None = None) -> DataFrame:
 
 
 def rating_vs_installs_sample(v: FrameView, category: str | None = None,
-                              n: int = 2000, seed: int = 0) -> DataFrame:
+                              n: int = 2000, seed: int = 0,
+                              digits: int | None = None) -> DataFrame:
     """``rating_vs_installs`` limited to an exact uniform sample of n apps."""
-    return exact_sample(rating_vs_installs(v, category), n, ["app_name"], seed=seed)
+    return exact_sample(rating_vs_installs(v, category, digits), n, ["app_name"], seed=seed)
 
 
 def sentiment_distribution(v: FrameView, category: str | None = None) -> DataFrame:

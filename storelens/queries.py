@@ -3,7 +3,9 @@ tables (``part`` -> app listings, ``lineitem`` ⋈ ``part`` -> reviews).
 
 Comparison convention (same on the SQL side): averages are reported at 6
 decimals, and the keyed fact's rating is rounded to 6 decimals before any
-ranking, so ties between equal means do not depend on summation order.
+ranking.  Means over the dashboard frame are rounded exactly (integer
+micro-units, half-up), so a mean that lies on a rounding half comes out the
+same whatever the summation order.
 """
 
 from __future__ import annotations
@@ -114,10 +116,6 @@ def _pipeline_keyed(m: Models) -> DataFrame:
     return _r(t["fact_app_metrics_keyed"], "average_user_rating", "avg_sentiment")
 
 
-def _mean_digits(df: DataFrame) -> DataFrame:
-    return _r(df, "average_user_rating")
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_apps": _q(lambda m: m.clean_apps),
     "clean_reviews": _q(lambda m: m.clean_reviews),
@@ -137,9 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_rated_apps_category": _q(
         lambda m: plans.top_rated_apps(m.view("row"), FILTER_CATEGORY, 10, DIGITS)),
     "rating_vs_installs": _q(
-        lambda m: _mean_digits(plans.rating_vs_installs(m.view("row")))),
+        lambda m: plans.rating_vs_installs(m.view("row"), None, DIGITS)),
     "rating_vs_installs_sample": _q(
-        lambda m: _mean_digits(plans.rating_vs_installs_sample(m.view("row"), None, 2000))),
+        lambda m: plans.rating_vs_installs_sample(m.view("row"), None, 2000, digits=DIGITS)),
     "sentiment_distribution": _q(
         lambda m: _r(plans.sentiment_distribution(m.view("row")), "share")),
     "sentiment_distribution_category": _q(

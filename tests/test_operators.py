@@ -110,3 +110,17 @@ def test_exact_sample_matches_md5_ranking_in_duckdb(spark):
         "SELECT app_name FROM t ORDER BY md5(concat_ws('|', '0', app_name)), app_name LIMIT 50"
     ).fetchall())
     assert got == exp
+
+
+def test_rounded_mean_is_exact_on_halves(spark):
+    # the mean is exactly 2.8203125: half-up gives 2.820313 whatever the row order
+    rows = [(2.820312, 1), (2.820313, 1)] * 3 + [(None, 7)]
+    for part in (1, 3, 8):
+        df = spark.createDataFrame(rows, "v double, w bigint").repartition(part)
+        r = df.agg(op.rounded_mean("v", "w", 6).alias("m"),
+                   op.rounded_mean("v", "w", 2).alias("m2")).first()
+        assert (r.m, r.m2) == (2.820313, 2.82)
+    neg = spark.createDataFrame([(-0.125, 1), (-0.135, 1)], "v double, w bigint")
+    assert neg.agg(op.rounded_mean("v", "w", 2)).first()[0] == -0.13
+    empty = spark.createDataFrame([(None, 1)], "v double, w bigint")
+    assert empty.agg(op.rounded_mean("v", "w", 2)).first()[0] is None
