@@ -30,6 +30,18 @@ def key(*cols: str) -> str:
     return "md5(" + " || ".join(f"coalesce(CAST({c} AS VARCHAR), '_')" for c in cols) + ")"
 
 
+def exact_mean(col: str, digits: int, scale: int = 6) -> str:
+    """Mean rounded half away from zero to ``digits`` decimals, computed in
+    integer 10**-scale units (order-independent)."""
+    units = f"CAST(round({col} * {10 ** scale}) AS HUGEINT)"
+    total = f"sum({units})"
+    count = f"CAST(count({col}) AS HUGEINT)"
+    step = 10 ** (scale - digits)
+    half = f"((2 * abs({total}) + {count} * {step}) // (2 * {count} * {step}))"
+    return (f"(CASE WHEN {count} > 0 THEN CAST(CASE WHEN {total} < 0 THEN -{half} ELSE {half} END "
+            f"AS DOUBLE) / {10 ** digits} END)")
+
+
 APP_COLS = ("App", "Category", "Rating", "Reviews", "Size", "Installs", "Type", "Price",
             "Content_Rating", "Genres", "Last_Updated", "Current_Ver", "Android_Ver")
 REVIEW_COLS = ("App", "Translated_Review", "Sentiment", "Sentiment_Polarity",
@@ -151,7 +163,7 @@ SELECT k.app_id, k.app_name, k.category_id, k.app_price, k.average_user_rating,
  k.total_installs, r.avg_sentiment, r.total_reviews
 FROM (SELECT {key('app_name', 'current_version')} AS app_id, app_name,
         {key('app_category', 'app_genres')} AS category_id,
-        max(app_price) AS app_price, round(avg(app_rating), 6) AS average_user_rating,
+        max(app_price) AS app_price, {exact_mean('app_rating', 6)} AS average_user_rating,
         max(installs_int) AS total_installs
       FROM stg_apps GROUP BY 1, 2, 3) k
 LEFT JOIN reviews_agg r ON k.app_name = r.app_name""")
@@ -189,18 +201,6 @@ def with_ctes(body: str, *roots: str) -> str:
     return f"WITH {parts}\n{body}"
 
 
-def exact_mean(col: str, digits: int, scale: int = 6) -> str:
-    """Mean rounded half away from zero to ``digits`` decimals, computed in
-    integer 10**-scale units (order-independent)."""
-    units = f"CAST(round({col} * {10 ** scale}) AS HUGEINT)"
-    total = f"sum({units})"
-    count = f"CAST(count({col}) AS HUGEINT)"
-    step = 10 ** (scale - digits)
-    half = f"((2 * abs({total}) + {count} * {step}) // (2 * {count} * {step}))"
-    return (f"(CASE WHEN {count} > 0 THEN CAST(CASE WHEN {total} < 0 THEN -{half} ELSE {half} END "
-            f"AS DOUBLE) / {10 ** digits} END)")
-
-
 def compact(n: str) -> str:
     """Compact count text, tenths rounded half-up in integers."""
     def unit(d: int, s: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions import md5_key_sql, sentiment_score_sql
-from storelens.operators import distinct_on
+from storelens.operators import distinct_on, rounded_mean
 from storelens.functions.sql import project
 
 DIM_APPS_GROUP = (
@@ -70,17 +70,21 @@ KEYED_COLUMNS = (
 )
 
 
-def fact_app_metrics_keyed(stg_apps: DataFrame, stg_reviews: DataFrame) -> DataFrame:
+def fact_app_metrics_keyed(stg_apps: DataFrame, stg_reviews: DataFrame,
+                           digits: int | None = None) -> DataFrame:
     """One row per (app_id, app_name, category_id) with the columns the
-    consumers select: mean rating, largest installs and price, and the review
-    metrics of the app name."""
+    consumers select: mean rating (rounded exactly to ``digits`` when given,
+    see ``operators.rounded_mean``), largest installs and price, and the
+    review metrics of the app name."""
+    mean = (F.expr("avg(app_rating)") if digits is None
+            else rounded_mean("app_rating", "_one", digits))
     keyed = (stg_apps
              .transform(project, f"{md5_key_sql('app_name', 'current_version')} AS app_id",
                         "app_name",
                         f"{md5_key_sql('app_category', 'app_genres')} AS category_id",
-                        "app_price", "app_rating", "installs_int")
+                        "app_price", "app_rating", "installs_int", "1L AS _one")
              .groupBy("app_id", "app_name", "category_id")
              .agg(F.expr("max(app_price)").alias("app_price"),
-                  F.expr("avg(app_rating)").alias("average_user_rating"),
+                  mean.alias("average_user_rating"),
                   F.expr("max(installs_int)").alias("total_installs")))
     return keyed.join(review_metrics(stg_reviews), "app_name", "left").select(*KEYED_COLUMNS)

@@ -32,14 +32,15 @@ MODEL_ORDER = (
 
 def run_pipeline(raw_apps: DataFrame, raw_reviews: DataFrame, out_dir: str,
                  fmt: str = "parquet", report: dict[str, int] | None = None,
-                 max_parallel: int = 4) -> dict[str, DataFrame]:
+                 max_parallel: int = 4, digits: int | None = None) -> dict[str, DataFrame]:
     """Build every model; returns name -> DataFrame read from its table.
 
     Models of one layer do not depend on each other, so their writes are
     submitted as concurrent Spark jobs (up to ``max_parallel``), like the
     parallel ingest branches of the original DAG; layers run in order.
     ``report``, when given, receives the landed row counts, observed during
-    the landing writes (no extra pass)."""
+    the landing writes (no extra pass).  ``digits`` rounds the keyed fact's
+    mean rating exactly (``fact_app_metrics_keyed``)."""
     out = out_dir.rstrip("/")
     t: dict[str, DataFrame] = {}
     obs = {"apps_landed": Observation("apps_landed"),
@@ -68,7 +69,8 @@ def run_pipeline(raw_apps: DataFrame, raw_reviews: DataFrame, out_dir: str,
     sa, sr = t["stg_apps"], t["stg_reviews"]
     layer({"dim_apps": model("dim_apps", dim_apps(sa)),
            "dim_categories": model("dim_categories", dim_categories(sa)),
-           "fact_app_metrics_keyed": model("fact_app_metrics_keyed", fact_app_metrics_keyed(sa, sr))})
+           "fact_app_metrics_keyed": model("fact_app_metrics_keyed",
+                                            fact_app_metrics_keyed(sa, sr, digits))})
     layer({"fact_app_metrics": model("fact_app_metrics",
                                      fact_app_metrics(t["dim_apps"], t["dim_categories"], sr))})
     return {name: t[name] for name in MODEL_ORDER}

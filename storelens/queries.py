@@ -81,8 +81,7 @@ class Models:
 
     @cached_property
     def keyed(self):
-        return _r(plans.fact_app_metrics_keyed(self.stg_apps, self.stg_reviews),
-                  "average_user_rating")
+        return plans.fact_app_metrics_keyed(self.stg_apps, self.stg_reviews, DIGITS)
 
     @cached_property
     def inputs(self):
@@ -112,8 +111,9 @@ def _pipeline_keyed(m: Models) -> DataFrame:
     keyed fact read back from its table."""
     out = scratch_path(m.spark, "pipeline")
     lineitem = read_table(m.spark, m.sf_dir, "lineitem")
-    t = plans.run_pipeline(raw_apps_from_part(m.part), raw_reviews_from_lineitem(lineitem, m.part), out)
-    return _r(t["fact_app_metrics_keyed"], "average_user_rating", "avg_sentiment")
+    t = plans.run_pipeline(raw_apps_from_part(m.part), raw_reviews_from_lineitem(lineitem, m.part),
+                           out, digits=DIGITS)
+    return _r(t["fact_app_metrics_keyed"], "avg_sentiment")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
