@@ -6,13 +6,13 @@ DataFrames.  ``build_session`` is for tests, the bench and command-line use.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_root: str | None = None
 
 
 def build_session(
@@ -57,7 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster the setting must exist (a machine-local folder would not be
     visible to other executors and would vanish with a lost node).  Only a
-    local-mode session without the setting gets a fresh temporary folder.
+    local-mode session without the setting gets a fresh temporary folder,
+    remembered here: the setting itself can't be changed in a running session.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
@@ -71,19 +72,20 @@ def checkpoint_root(spark: SparkSession) -> str:
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; configure a shared folder for this cluster"
         )
-    root = tempfile.mkdtemp(prefix="storelens-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    try:
-        spark.sparkContext.setCheckpointDir(root)
-    except Exception:
-        pass
-    return root
+    global _local_root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="storelens-ckpt-")
+    return _local_root
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A new, unique path under the shared checkpoint folder."""
+    """A new, unique path under the shared checkpoint folder.  Nothing is
+    created here; Spark's writer makes the folders on the cluster's store."""
     name = "-".join(parts + (uuid.uuid4().hex[:12],))
-    root = checkpoint_root(spark)
-    if "://" not in root:
-        os.makedirs(os.path.join(root, "storelens"), exist_ok=True)
-    return f"{root}/storelens/{name}"
+    return f"{checkpoint_root(spark)}/storelens/{name}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder through the cluster's file system API."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
