@@ -14,9 +14,11 @@ densification, banded buckets and star-shaped candidate edges.
 3. Star step: every bucket links its members to one centre; the links are
    confirmed on the full sets and merged into components.
 4. Exact step for what a star cannot see: in buckets that still hold two or
-   more components, members of *different* components meet, if their set
-   sizes and sketches allow 0.75 (six standard deviations), and are confirmed
-   on the full sets.  There is no cap on a bucket or on a document's partners.
+   more components, members of *different* components meet.  In small buckets
+   a join makes pairs whose set sizes and sketches allow 0.75 (six standard
+   deviations), confirmed on the full sets; larger buckets are compared block
+   by block on the full sets, and only links leave a block.  There is no cap on
+   a bucket or on a document's partners.
 
 Null texts, empty texts and texts without words have an empty set and link
 with nothing.  A row with a null id keeps a null component, ``kept`` true,
@@ -33,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import discard, map_arrow, mix64, text_slices, word_hashes, written
+from storelens.llm.common import discard, map_arrow, mix64, ship, text_slices, word_hashes, written
 from storelens.llm.components import connected_components
 
 WORDS, BINS, BAND_BINS, ROWS = 5, 256, 128, 4
 THRESHOLD = 75  # percent
+SMALL, BLOCK = 32, 256  # members of a bucket compared by a join; in a block otherwise
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -157,6 +160,84 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where(f"100 * x >= {THRESHOLD} * (n_a + n_b - x)").select("a", "b"))
 
 
+def _small_buckets(members: DataFrame) -> DataFrame:
+    """Candidate pairs across components: at most ``SMALL`` / 2 per row."""
+    def side(s):
+        return members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in
+                                       ("id", "n_shingles", "slack", "component")],
+                              *[F.col("sketch")[i].alias(f"s{i}_{s}") for i in range(4)])
+
+    apart = " + ".join(f"bit_count(s{i}_a ^ s{i}_b)" for i in range(4))
+    return side("a").join(side("b"), "key").where(
+        f"id_a < id_b AND component_a <> component_b"
+        f" AND 100 * least(n_shingles_a, n_shingles_b)"
+        f" >= {THRESHOLD} * greatest(n_shingles_a, n_shingles_b)"
+        f" AND {apart} <= greatest(slack_a, slack_b)"
+    ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def _large_buckets(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links across components in buckets of any size.  A bucket is dealt into
+    blocks of about ``BLOCK`` members by a hash of their ids, every pair of
+    blocks is one group with the members' full sets, and a group returns a
+    spanning forest of the links it finds: no pair is emitted that is not a
+    link, and no group grows with the bucket."""
+    rows = (members.select("key", "id", "component", F.ceil(F.col("members") / BLOCK).alias("nb"))
+            .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("nb")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+            .select("key", "id", "component", "mine", F.least("mine", "other").alias("i"),
+                    F.greatest("mine", "other").alias("j")))
+    ship(sets.sparkSession)
+    return (rows.join(sets.select("id", "shingles"), "id")
+            .groupBy("key", "i", "j").applyInArrow(_block_links, "a long, b long"))
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    ids, comp = table["id"].to_numpy(), table["component"].to_numpy()
+    found_a, found_b = [], []
+    if len(set(comp.tolist())) > 1:
+        lists = table["shingles"].combine_chunks()
+        flat, ends = lists.flatten().to_numpy(), np.asarray(lists.offsets)
+        size = np.diff(ends)
+        row = np.repeat(np.arange(len(ids)), size)
+        order = np.argsort(flat, kind="stable")
+        flat, row = flat[order], row[order]
+        new = np.concatenate([[True], flat[1:] != flat[:-1]])
+        column = np.cumsum(new) - 1
+        shared = np.bincount(column) > 1  # only these add to an intersection
+        keep = shared[column]
+        row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
+        side = np.array(table["mine"].to_numpy() == table["i"][0].as_py())
+        one = np.flatnonzero(side)  # block i; its other block, or itself if i = j
+        two = np.flatnonzero(~side) if not side.all() else one
+        common = np.zeros((len(one), len(two)), np.float32)
+        columns = int(column[-1]) + 1 if len(column) else 0
+        step = max(1, min(columns, (4 << 20) // len(ids)))
+        for c in range(0, columns, step):
+            lo, hi = np.searchsorted(column, [c, c + step])
+            dense = np.zeros((len(ids), step), np.float32)
+            dense[row[lo:hi], column[lo:hi] - c] = 1
+            common += dense[one] @ dense[two].T
+        union = size[one][:, None] + size[two][None] - common
+        link = (100 * common >= THRESHOLD * union) & (comp[one][:, None] != comp[two][None])
+        parent = {c: c for c in set(comp.tolist())}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        for x, y in zip(*np.nonzero(link), strict=True):
+            x, y = one[x], two[y]
+            p, q = root(int(comp[x])), root(int(comp[y]))
+            if p != q:
+                parent[p] = q
+                found_a.append(int(ids[x]))
+                found_b.append(int(ids[y]))
+    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id
     reachable over links), kept (the id is its component's)."""
@@ -198,24 +279,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(comp.withColumnRenamed("node", "id"), "id", "left")
         .withColumn("component", F.coalesce("component", "id")), "minhash-members")
     open_keys, open_path = written(
-        state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo < hi").select("key"), "minhash-open")
+        state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                 F.count("*").alias("members"))
+        .where("lo < hi").select("key", "members"), "minhash-open")
     left, left_path = written(state.join(open_keys, "key"), "minhash-open-members")
-
-    def side(s):
-        return left.select("key", *[F.col(c).alias(f"{c}_{s}") for c in
-                                    ("id", "n_shingles", "slack", "component")],
-                           *[F.col("sketch")[i].alias(f"s{i}_{s}") for i in range(4)])
-
-    apart = " + ".join(f"bit_count(s{i}_a ^ s{i}_b)" for i in range(4))
-    more = side("a").join(side("b"), "key").where(
-        f"id_a < id_b AND component_a <> component_b"
-        f" AND 100 * least(n_shingles_a, n_shingles_b) >= {THRESHOLD} * greatest(n_shingles_a, n_shingles_b)"
-        f" AND {apart} <= greatest(slack_a, slack_b)")
-    more, more_path = written(more.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-                              .distinct(), "minhash-rest")
-    extra, extra_path = written(_confirm(more.join(stars, ["a", "b"], "left_anti"), sets),
-                                "minhash-links")
+    more, more_path = written(_small_buckets(left.where(f"members <= {SMALL}")), "minhash-rest")
+    extra, extra_path = written(
+        _confirm(more.join(stars, ["a", "b"], "left_anti"), sets)
+        .union(_large_buckets(left.where(f"members > {SMALL}"), sets)), "minhash-links")
     final, final_path = connected_components(
         extra.union(comp.select("node", "component")))
     discard(spark, bucket_path, centre_path, star_path, set_path, link_path, state_path, open_path,
