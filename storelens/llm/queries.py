@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storelens.llm import minhash_dedup
+from storelens.llm import bpe_automaton, exact_packing, minhash_dedup
 from storelens.llm.common import documents
 
 
@@ -16,8 +17,31 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = exact_packing.token_pieces(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
+    return exact_packing.pack(pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    coded = bpe_automaton.encode(documents(spark, sf_dir, "doc_id", "text"), path)
+    return bpe_automaton.decode(coded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_exact_packing": op5_exact_packing,
+    "op10_bpe_automaton": op10_bpe_automaton,
 }
 
 ORACLE: dict[str, str] = {}
