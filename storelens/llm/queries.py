@@ -9,8 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import bpe_automaton, exact_packing, minhash_dedup
-from storelens.llm.common import documents
+from storelens.llm import bpe_automaton, embed_dedup, exact_packing, lang_id, minhash_dedup
+from storelens.llm.common import documents, fold_of
+
+
+def op1_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +33,13 @@ def op5_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op8_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = lang_id.learn(docs.where(fold_of("doc_id", 5) != 0))
+    return lang_id.predict(docs, model).select(
+        "doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     coded = bpe_automaton.encode(documents(spark, sf_dir, "doc_id", "text"), path)
@@ -39,8 +50,10 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embed_dedup": op1_embed_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_exact_packing": op5_exact_packing,
+    "op8_lang_id": op8_lang_id,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 
