@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import bpe_automaton, embed_dedup, exact_packing, lang_id, minhash_dedup
+from storelens.llm import bpe_automaton, embed_dedup, exact_packing, lang_id, minhash_dedup, pii_sanitise, winnowing
 from storelens.llm.common import documents, fold_of
 
 
@@ -33,6 +33,16 @@ def op5_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op6_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_sanitise.find_spans(documents(spark, sf_dir, "doc_id", "text"))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}")
+              for k in ("email", "ip", "card", "phone")]
+    found = found.withColumn("every", pii_sanitise.ordered("concat(base, terms)"))
+    return found.select("doc_id", *counts,
+                        F.sha2(pii_sanitise.span_list("base"), 256).alias("base_sha256"),
+                        pii_sanitise.span_list("every").alias("spans"))
+
+
 def op8_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     model = lang_id.learn(docs.where(fold_of("doc_id", 5) != 0))
@@ -40,6 +50,12 @@ def op8_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_fingerprints(documents(spark, sf_dir, "doc_id", "text")).select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next")
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     coded = bpe_automaton.encode(documents(spark, sf_dir, "doc_id", "text"), path)
@@ -53,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embed_dedup": op1_embed_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_exact_packing": op5_exact_packing,
+    "op6_pii_sanitise": op6_pii_sanitise,
     "op8_lang_id": op8_lang_id,
+    "op9_winnowing": op9_winnowing,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
 
