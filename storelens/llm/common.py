@@ -127,16 +127,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], (at - at[0]).astype(np.int64)
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z as a-z) of
     every row, one after the other, and the number of words of each row.
+    ``between`` marks the bytes that separate words.
 
     A word's hash is a polynomial of its bytes, taken from running sums, so
     that no word becomes a Python object.  Rows are worked on in blocks cut
     between words; a single word longer than a block is hashed by itself.
     """
     raw, at = text_bytes(column)
-    space = _SPACE[raw]
+    space = between[raw]
     begins = ~space
     begins[1:] &= space[:-1]
     edge = at[:-1][(at[:-1] < at[1:])]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import map_arrow, text_slices, written
+from storelens.llm.common import map_arrow, ship, text_slices, written
 
 SIZES, SHARE, LEAD = (1, 2, 3, 4), 2e-5, 0.25
 HASHES, BITS_PER_GRAM = 4, 16
@@ -118,36 +118,37 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Fi
     return Filter(rows, sorted({x for x, _ in rows}))
 
 
-def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, lang_pred, score) for every row of ``docs``."""
+def with_language(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame:
+    """``docs`` (all columns) with lang_pred and score, appended."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predict_texts(column: pa.Array) -> pa.Array:
         f = shared.value
         known: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                langs, scores = [], []
-                for text in part.column(1).to_pylist():
-                    words = Counter(_LETTERS.findall(text.lower())) if text else {}
-                    if not words or not f.languages:
-                        langs.append(UND)
-                        scores.append(0.0)
-                        continue
-                    if len(known) > 200_000:
-                        known.clear()
-                    for w in words:
-                        if w not in known:
-                            known[w] = f.word(w)
-                    hits = np.array([known[w] for w in words]).T @ np.fromiter(
-                        words.values(), np.int64, len(words))
-                    right = np.maximum(0, hits[:-1] - hits[-1] * f.false) / (1 - f.false)
-                    best = int(right.argmax())
-                    langs.append(f.languages[best])
-                    scores.append(float(min(1.0, right[best] / hits[-1])))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    names=[id_col, "lang_pred", "score"])
-
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_arrow(source, run, f"`{id_col}` long, lang_pred string, score double")
+        langs, scores = [], []
+        for part in text_slices(pa.RecordBatch.from_arrays([column], names=["text"]), "text"):
+            for text in part.column(0).to_pylist():
+                words = Counter(_LETTERS.findall(text.lower())) if text else {}
+                if not words or not f.languages:
+                    langs.append(UND)
+                    scores.append(0.0)
+                    continue
+                if len(known) > 200_000:
+                    known.clear()
+                for w in words:
+                    if w not in known:
+                        known[w] = f.word(w)
+                hits = np.array([known[w] for w in words]).T @ np.fromiter(
+                    words.values(), np.int64, len(words))
+                right = np.maximum(0, hits[:-1] - hits[-1] * f.false) / (1 - f.false)
+                best = int(right.argmax())
+                langs.append(f.languages[best])
+                scores.append(float(min(1.0, right[best] / hits[-1])))
+        return pa.StructArray.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    return docs.withColumn("_language", predict_texts(F.col(text_col))).select(
+        *columns, "_language.lang_pred", "_language.score")

@@ -9,7 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import bpe_automaton, embed_dedup, exact_packing, lang_id, minhash_dedup, pii_sanitise, winnowing
+from storelens.llm import (
+    bpe_automaton,
+    embed_dedup,
+    exact_packing,
+    lang_id,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    pii_sanitise,
+    toxicity_pu,
+    winnowing,
+)
 from storelens.llm.common import documents, fold_of
 
 
@@ -17,6 +28,25 @@ def op1_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op2_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    train = fold_of("doc_id", 4) != 2
+    model = toxicity_pu.learn(docs.where(train), labels.where(train))
+    return toxicity_pu.score(docs, model).select(
+        "doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no path: a folder per source, with folders of 1,000 and
+    of 100 ids below."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "source").withColumn("path", F.concat_ws(
+        "/", F.coalesce("source", F.lit("unknown")), F.expr("doc_id div 1000"),
+        F.expr("doc_id div 100"), "doc_id"))
+    return license_scan.scan(docs)
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -43,10 +73,20 @@ def op6_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii_sanitise.span_list("every").alias("spans"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn(
+        "n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", F.greatest("n_lines", F.lit(0)).alias("n_lines"),
+        F.size("removed_lines").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op8_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     model = lang_id.learn(docs.where(fold_of("doc_id", 5) != 0))
-    return lang_id.predict(docs, model).select(
+    return lang_id.with_language(docs, model).select(
         "doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
@@ -67,9 +107,12 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embed_dedup": op1_embed_dedup,
+    "op2_toxicity_pu": op2_toxicity_pu,
+    "op3_license_scan": op3_license_scan,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_exact_packing": op5_exact_packing,
     "op6_pii_sanitise": op6_pii_sanitise,
+    "op7_line_dedup": op7_line_dedup,
     "op8_lang_id": op8_lang_id,
     "op9_winnowing": op9_winnowing,
     "op10_bpe_automaton": op10_bpe_automaton,
