@@ -111,12 +111,14 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max("y").alias("y")))
     known = marks.join(text.select("id").distinct(), "id", "left_semi")
     prior = known.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
-    order = F.xxhash64("id"), F.col("id"), F.col("text")
+    # ids are picked first; they alone are shuffled, and both samples are bounded
+    ids, order = text.select("id").distinct(), (F.xxhash64("id"), F.col("id"))
     toxic = marks.where("y = 1").select("id")
-    picked = (text.join(toxic, "id", "left_semi").orderBy(*order).limit(POSITIVES)
-              .select(F.lit(True).alias("positive"), "text")
-              .union(text.join(toxic, "id", "left_anti").orderBy(*order).limit(UNLABELLED)
-                     .select(F.lit(False).alias("positive"), "text")))
+    picked = (ids.join(toxic, "id", "left_semi").orderBy(*order).limit(POSITIVES)
+              .withColumn("positive", F.lit(True))
+              .union(ids.join(toxic, "id", "left_anti").orderBy(*order).limit(UNLABELLED)
+                     .withColumn("positive", F.lit(False))))
+    picked = text.join(F.broadcast(picked), "id").select("positive", "text")
     rows = map_arrow(picked, _features, "positive boolean, features array<int>").toArrow()
     positive = rows["positive"].to_numpy()
     lists = rows["features"].combine_chunks()
