@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import regex
 
 # The white space of the tokenizer's patterns, and its splitter.
-_WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").replace(r"\s", _WHITE)
 _WORDS = regex.compile(_SPLIT)
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^" + "\t\n\x0b\x0c\r " + r"a-z0-9]+")
