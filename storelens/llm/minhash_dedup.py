@@ -100,7 +100,7 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """Of non-empty sets: band keys, sketch (4 longs) and the most sketch bits
     that may differ at similarity 0.75."""
     done = [one_permutation(s) for s in sets]
-    value = np.array([v for v, _ in done]).reshape(-1, BINS)
+    value = np.array([v for v, _ in done], np.uint64).reshape(-1, BINS)
     v = value[:, :BAND_BINS].reshape(len(value), BAND_BINS // ROWS, ROWS)
     key = np.broadcast_to(np.arange(v.shape[1], dtype=np.uint64) * _ODD[2], v.shape[:2])
     for j in range(ROWS):

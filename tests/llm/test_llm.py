@@ -226,6 +226,21 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(empty(spark)).collect() == []
 
 
+def test_edit_distance():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            new = [i + 1]
+            for j, y in enumerate(b):
+                new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+            row = new
+        return row[-1]
+    rng = random.Random(9)
+    for _ in range(500):
+        a, b = ("".join(rng.choices("abc", k=rng.randrange(12))) for _ in range(2))
+        assert line_dedup.edit_distance(a, b) == plain(a, b)
+
+
 def test_line_simhash():
     lines = ["a b c d e", "one two three", "one two three four five six"]
     import xxhash  # noqa: F401
