@@ -278,6 +278,13 @@ SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating,
 FROM frame GROUP BY app_name
 ORDER BY md5(concat_ws('|', '0', coalesce(CAST(app_name AS VARCHAR), ''))), app_name
 LIMIT 2000""", "frame"),
+    "rating_vs_installs_sample_200": with_ctes(f"""
+SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating,
+ CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs,
+ min(price) AS price, coalesce(min(price), CAST(0.0 AS DOUBLE)) AS price_numeric_viz
+FROM frame GROUP BY app_name
+ORDER BY md5(concat_ws('|', '0', coalesce(CAST(app_name AS VARCHAR), ''))), app_name
+LIMIT 200""", "frame"),
     "sentiment_distribution": sentiment_distribution(),
     "sentiment_distribution_category": sentiment_distribution(cat("PROMO")),
     "sentiment_histogram": with_ctes("""

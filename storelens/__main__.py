@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         v = plans.view(plans.DashboardInputs(*_tables(spark, args.warehouse))).cache()
         for name, df in plans.dashboard_panels(v, args.category).items():
             print(f"== {name}")
-            df.show(20, truncate=False)
+            df.show(max(1, df.count()), truncate=False)
         v.unpersist()
     return 0
 

@@ -19,9 +19,14 @@ MB = 1024 * 1024
 KB = 1024
 
 
+def finite_sql(x: str) -> str:
+    """NaN and the infinities -> NULL on a double."""
+    return f"CASE WHEN abs({x}) < CAST('Infinity' AS DOUBLE) THEN {x} END"
+
+
 def to_number_sql(x: str) -> str:
-    """Double, or NULL when the text is not a plain number."""
-    return f"CASE WHEN {x} RLIKE {regex(NUMBER_RE)} THEN try_cast({x} AS DOUBLE) END"
+    """Double, or NULL when the text is not a plain number or too large for one."""
+    return finite_sql(f"CASE WHEN {x} RLIKE {regex(NUMBER_RE)} THEN try_cast({x} AS DOUBLE) END")
 
 
 def nan_to_null_sql(x: str) -> str:
@@ -58,8 +63,8 @@ def size_to_bytes_sql(x: str, varies: str = "Varies with device") -> str:
     mega = to_number_sql(f"replace({x}, 'M', '')")
     kilo = to_number_sql(f"replace({x}, 'k', '')")
     return (f"CASE WHEN {x} = {lit(varies)} THEN CAST(NULL AS DOUBLE) "
-            f"WHEN {x} LIKE '%M' THEN {mega} * {MB} "
-            f"WHEN {x} LIKE '%k' THEN {kilo} * {KB} "
+            f"WHEN {x} LIKE '%M' THEN {finite_sql(f'({mega}) * {MB}')} "
+            f"WHEN {x} LIKE '%k' THEN {finite_sql(f'({kilo}) * {KB}')} "
             f"ELSE CAST(NULL AS DOUBLE) END")
 
 

@@ -8,8 +8,8 @@ from storelens.functions.sql import as_column, in_list, regex
 
 
 def strip_ws_sql(x: str) -> str:
-    """Remove leading and trailing whitespace (blank, tab, newline, ...)."""
-    return f"regexp_replace({x}, {regex(r'^\s+|\s+$')}, '')"
+    """Remove leading and trailing whitespace, Unicode blanks included."""
+    return f"regexp_replace({x}, {regex(r'(?U)^\s+|\s+$')}, '')"
 
 
 def na_to_null_sql(x: str, tokens: Iterable[str]) -> str:

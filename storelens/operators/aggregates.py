@@ -69,9 +69,11 @@ def rounded_mean(value: str, weight: str, digits: int, scale: int = 6) -> Column
     if not 0 <= digits <= scale:
         raise ValueError("need 0 <= digits <= scale")
     v, w = ident(value), ident(weight)
-    units = f"CAST(round({v} * {10 ** scale}D) AS DECIMAL(38, 0))"
+    finite = f"CASE WHEN abs({v}) < CAST('Infinity' AS DOUBLE) THEN {v} END"
+    units = f"CAST(round({finite} * {10 ** scale}D) AS DECIMAL(38, 0))"
     total = f"sum({units} * CAST({w} AS DECIMAL(38, 0)))"
-    count = f"CAST(sum(CASE WHEN {v} IS NOT NULL THEN {w} END) AS DECIMAL(38, 0))"
+    # exactly the rows that are summed: a non-finite value is in neither
+    count = f"CAST(sum(CASE WHEN {units} IS NOT NULL THEN {w} END) AS DECIMAL(38, 0))"
     step = 10 ** (scale - digits)
     half_up = f"((2 * abs({total}) + {count} * {step}) div (2 * {count} * {step}))"
     return F.expr(

@@ -138,6 +138,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda m: plans.rating_vs_installs(m.view("row"), None, DIGITS)),
     "rating_vs_installs_sample": _q(
         lambda m: plans.rating_vs_installs_sample(m.view("row"), None, 2000, digits=DIGITS)),
+    "rating_vs_installs_sample_200": _q(
+        lambda m: plans.rating_vs_installs_sample(m.view("row"), None, 200, digits=DIGITS)),
     "sentiment_distribution": _q(
         lambda m: _r(plans.sentiment_distribution(m.view("row")), "share")),
     "sentiment_distribution_category": _q(

@@ -59,7 +59,10 @@ def _csv_writer(df: DataFrame):
             .option("header", True)
             .option("nullValue", CSV_NULL_TOKEN)
             .option("quote", '"')
-            .option("escape", '"'))
+            .option("escape", '"')
+            # keep the text as it is: keys and joins are made from it
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False))
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False,

@@ -28,6 +28,8 @@ def _reader(spark: SparkSession, columns, multiline: bool, null_value: str | Non
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
+        # a file whose header differs from the schema fails instead of being read by position
+        .option("enforceSchema", False)
         # keep the text as written: blanks matter for the NA-token match
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

@@ -100,3 +100,11 @@ def test_na_to_null(spark):
 
 def test_nan_to_null(spark):
     assert one_col(spark, [float("nan"), 1.5, None], sf.nan_to_null, "double") == [None, 1.5, None]
+
+
+def test_numbers_too_large_and_unicode_blanks(spark):
+    from storelens.functions.numeric import installs_text_sql, size_to_bytes_sql, to_number_sql
+
+    r = spark.createDataFrame([("1e999", "1\u00a0", "1e400M", "2M")], "a string, b string, c string, d string") \
+        .selectExpr(to_number_sql("a"), installs_text_sql("b"), size_to_bytes_sql("c"), size_to_bytes_sql("d")).first()
+    assert tuple(r) == (None, "1", None, 2.0 * 1024 * 1024)

@@ -179,3 +179,21 @@ def test_apps_csv_is_read_by_header_name(spark, tmp_dir):
     a = sorted(map(tuple, plans.clean_apps(read_apps_csv(spark, src)).collect()), key=str)
     b = sorted(map(tuple, plans.clean_apps(read_apps_csv(spark, shuffled)).collect()), key=str)
     assert a == b
+
+
+def test_export_keeps_blanks_and_other_column_order_fails(spark, tmp_dir):
+    import pytest
+
+    from storelens.sinks import export_csv
+    from storelens.sources import read_seed_csv
+    from storelens.sources.csv import read_apps_csv
+    from storelens.sources.schemas import APPS_COLUMNS
+
+    rows = [(" lead", "  text  "), ("\tq", 'a "b"\nc')]
+    export_csv(spark.createDataFrame(rows, "a string, b string"), f"{tmp_dir}/x")
+    assert sorted(map(tuple, read_seed_csv(spark, f"{tmp_dir}/x", ["a", "b"]).collect())) == sorted(rows)
+    for n, cols in (("1", APPS_COLUMNS), ("2", APPS_COLUMNS[::-1])):
+        with open(f"{tmp_dir}/{n}.csv", "w") as f:
+            f.write(",".join(cols) + "\n" + ",".join("v" for _ in cols) + "\n")
+    with pytest.raises(Exception):
+        read_apps_csv(spark, f"{tmp_dir}/*.csv").collect()
