@@ -85,15 +85,20 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
             out[i, np.searchsorted(chosen, np.intersect1d(r, chosen, assume_unique=True))] = 1
         return out
     xp, xu = dense(positive), dense(unlabelled)
+    held = xp.sum(axis=0, dtype=np.float64)
     w, bias = np.zeros(len(chosen)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for t in range(1, STEPS + 1):
-        gp, gu = xp @ w + bias, xu @ w + bias
+        # single precision throughout: mixed products would copy the matrices
+        short = w.astype(np.float32)
+        gp, gu = (xp @ short).astype(np.float64) + bias, (xu @ short).astype(np.float64) + bias
         sp, su = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))
         negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        grad_neg = np.append(xu.T @ su / len(xu) - prior * (xp.T @ sp) / len(xp),
+        back_p, back_u = (sp.astype(np.float32) @ xp).astype(np.float64), \
+            (su.astype(np.float32) @ xu).astype(np.float64)
+        grad_neg = np.append(back_u / len(xu) - prior * back_p / len(xp),
                              su.mean() - prior * sp.mean())
-        grad_pos = prior * np.append(-(xp.T @ (1 - sp)) / len(xp), -(1 - sp).mean())
+        grad_pos = prior * np.append((back_p - held) / len(xp), -(1 - sp).mean())
         grad = grad_pos + grad_neg if negative >= 0 else -grad_neg
         grad[:-1] += PENALTY * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
