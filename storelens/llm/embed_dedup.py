@@ -25,10 +25,30 @@ from pyspark.sql import functions as F
 from storelens.llm.common import map_arrow, ship, written
 from storelens.llm.components import connected_components
 
-THRESHOLD, TILE = 0.95, 1024
+THRESHOLD, TILE = 0.95, 2048
 SLACK = 1e-6  # rounding of the float sums, far above their error
 
 
+def packed(a: np.ndarray) -> bytes:
+    """The components' bytes: single precision where that holds them exactly,
+    else double; equal vectors have equal bytes (-0.0 is 0.0)."""
+    with np.errstate(over="ignore"):
+        short = a.astype(np.float32)
+    return ((short if (short == a).all() else a) + 0).tobytes()
+
+
+def unpacked(rows: list[bytes], d: int) -> np.ndarray:
+    """Unit vectors in double precision of ``packed`` vectors of length ``d``."""
+    out = np.empty((len(rows), d))
+    for kind in (np.float32, np.float64):
+        size = d * np.dtype(kind).itemsize
+        at = [i for i, x in enumerate(rows) if len(x) == size]
+        out[at] = np.frombuffer(b"".join(rows[i] for i in at), kind).reshape(len(at), d)
+    out /= np.abs(out).max(axis=1, keepdims=True)  # no overflow or underflow in the norm
+    out /= np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return out
+
+
 def _quantise(batches):
     for batch in batches:
         size, good = [], []
@@ -37,7 +57,7 @@ def _quantise(batches):
             v = x.as_py()
             ok = bool(v) and None not in v
             if ok:
-                a = np.array(v, np.float64)
+                a = given = np.array(v, np.float64)
                 top = np.abs(a).max()
                 ok = bool(np.isfinite(top) and top > 0)
             if not ok:
@@ -49,7 +69,7 @@ def _quantise(batches):
             s = np.abs(u).max() / 127
             q = np.rint(u / s).astype(np.int8)
             size.append(len(a))
-            good.append(np.array(v, np.float64).__add__(0.0).tobytes())  # -0.0 is 0.0
+            good.append(packed(given))
             scale.append(s)
             err.append(float(np.sqrt(((u - s * q) ** 2).sum())))
             code.append(q.tobytes())
@@ -66,9 +86,7 @@ def _tile_links(threshold: float):
         d = t["size"][0].as_py()
         kind = np.float32 if d <= 1040 else np.float64
         code = np.frombuffer(b"".join(t["code"].to_pylist()), np.int8).reshape(n, d).astype(kind)
-        exact = np.frombuffer(b"".join(t["exact"].to_pylist()), np.float64).reshape(n, d)
-        exact = exact / np.abs(exact).max(axis=1, keepdims=True)
-        exact = exact / np.sqrt((exact * exact).sum(axis=1, keepdims=True))
+        exact = unpacked(t["exact"].to_pylist(), d)
         scale, err = t["scale"].to_numpy(), t["err"].to_numpy()
         own = t["mine"].to_numpy() == t["i"][0].as_py()
         one, two = np.flatnonzero(own), np.flatnonzero(~own)
@@ -119,8 +137,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         _quantise, "id long, size int, exact binary, scale double, err double, code binary"),
         "embed-rows")
     classes, _ = written(
-        rows.where("exact IS NOT NULL AND id IS NOT NULL").groupBy("exact")
-        .agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"),
+        rows.where("exact IS NOT NULL AND id IS NOT NULL").groupBy("size", "exact")
+        .agg(F.min("id").alias("id"), F.count("*").alias("copies"),
              F.first("scale").alias("scale"), F.first("err").alias("err"),
              F.first("code").alias("code")), "embed-classes")
     total = classes.count()
@@ -138,10 +156,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     names, _ = written(
         classes.join(links, classes["id"] == links["a"], "left")
         .join(comp, F.col("id") == F.col("node"), "left")
-        .select("exact", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        .select("size", "exact", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                 F.coalesce("component", "id").alias("component")), "embed-names")
     component = F.coalesce("component", "id")
-    return rows.select("id", "exact").join(names, "exact", "left").select(
+    return rows.select("id", "size", "exact").join(names, ["size", "exact"], "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
