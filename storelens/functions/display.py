@@ -13,16 +13,21 @@ def thousands_sql(x: str) -> str:
     return f"format_number(CAST({x} AS BIGINT), 0)"
 
 
+def _whole(n: str, d: int) -> str:
+    """Integer quotient of a non-negative DECIMAL(38, 0); ``div`` returns BIGINT."""
+    return f"CAST(({n} - {n} % {d}) / {d} AS DECIMAL(38, 0))"
+
+
 def compact_number_sql(x: str) -> str:
     """Compact count text: >=1e9 'x.yB', >=1e6 'x.yM', >=1e3 'x.yK', else
     '1,234'-style.  The unit is chosen on the exact value, tenths are rounded
     half-up in integer arithmetic (no float formatting involved)."""
-    n = f"CAST({x} AS BIGINT)"
+    n = f"CAST(floor({x}) AS DECIMAL(38, 0))"
     branches = []
     for divisor, suffix in COMPACT_UNITS:
-        tenths = f"(({n} + {divisor // 20}L) div {divisor // 10}L)"
-        text = f"concat(CAST({tenths} div 10 AS STRING), '.', CAST(pmod({tenths}, 10) AS STRING), '{suffix}')"
-        branches.append(f"WHEN {n} >= {divisor}L THEN {text}")
+        tenths = _whole(f"({n} + {divisor // 20})", divisor // 10)
+        text = f"concat(CAST({_whole(tenths, 10)} AS STRING), '.', CAST({tenths} % 10 AS STRING), '{suffix}')"
+        branches.append(f"WHEN {n} >= {divisor} THEN {text}")
     return f"CASE {' '.join(branches)} ELSE {thousands_sql(n)} END"
 
 

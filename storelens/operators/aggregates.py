@@ -54,9 +54,11 @@ def weighted_mean(value: str, weight: str) -> Column:
 
 
 def weighted_sum(value: str, weight: str) -> Column:
-    """sum(value * weight), 0 when there is nothing to add (pandas rule)."""
-    v, w = ident(value), ident(weight)
-    return F.expr(f"coalesce(sum({v} * {w}), 0L)")
+    """sum(value * weight) of integers as DECIMAL(38, 0), 0 when there is
+    nothing to add (pandas rule).  Installs times frame rows pass BIGINT long
+    before they pass 38 digits."""
+    v, w = (f"CAST({ident(x)} AS DECIMAL(19, 0))" for x in (value, weight))
+    return F.expr(f"CAST(coalesce(sum({v} * {w}), 0) AS DECIMAL(38, 0))")
 
 
 def rounded_mean(value: str, weight: str, digits: int, scale: int = 6) -> Column:

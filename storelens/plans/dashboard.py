@@ -168,8 +168,8 @@ def _mean(column: str, digits: int | None):
 
 def kpis(v: FrameView, category: str | None = None) -> DataFrame:
     """One row: total_apps (distinct names), avg_rating (mean rounded half-up
-    to 2 decimals, computed exactly; 0.0 when there is none), total_installs, installs_display (compact) and
-    total_apps_display (thousands separators)."""
+    to 2 decimals, computed exactly; 0.0 when there is none), total_installs
+    (DECIMAL(38, 0)), installs_display (compact) and total_apps_display (thousands separators)."""
     a = for_category(v.apps, category)
     out = a.agg(
         F.expr("count(DISTINCT app_name)").alias("total_apps"),
@@ -179,7 +179,7 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
     return select_sql(out, [
         "total_apps",
         "coalesce(_mean, CAST(0.0 AS DOUBLE)) AS avg_rating",
-        "CAST(_installs AS BIGINT) AS total_installs",
+        "_installs AS total_installs",
         f"{compact_number_sql('_installs')} AS installs_display",
         f"{thousands_sql('total_apps')} AS total_apps_display",
     ])
@@ -206,7 +206,7 @@ def rating_vs_installs(v: FrameView, category: str | None = None,
                  weighted_sum("total_installs", "weight").alias("total_installs"),
                  F.expr("min(price)").alias("price"))
             .transform(project, "app_name", "average_user_rating",
-                       "CAST(total_installs AS BIGINT) AS total_installs", "price",
+                       "total_installs", "price",
                        "coalesce(CAST(price AS DOUBLE), CAST(0.0 AS DOUBLE)) AS price_numeric_viz"))
 
 

@@ -116,6 +116,12 @@ def _pipeline_keyed(m: Models) -> DataFrame:
     return _r(t["fact_app_metrics_keyed"], "avg_sentiment")
 
 
+def _long_installs(df: DataFrame) -> DataFrame:
+    """The library sums installs as DECIMAL(38, 0); the oracle compares BIGINT
+    (the driver tables' sums fit, a larger one is an error, not a wrong number)."""
+    return df.withColumn("total_installs", df["total_installs"].cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_apps": _q(lambda m: m.clean_apps),
     "clean_reviews": _q(lambda m: m.clean_reviews),
@@ -127,19 +133,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_app_metrics_keyed": _q(lambda m: _r(m.keyed, "avg_sentiment")),
     "top_rated": _q(lambda m: plans.top_rated(m.keyed, m.dim_apps, 5)),
     "dashboard_frame": _q(lambda m: plans.dashboard_frame(m.inputs)),
-    "kpis_row": _q(lambda m: plans.kpis(m.view("row"))),
-    "kpis_app": _q(lambda m: plans.kpis(m.view("app"))),
-    "kpis_category": _q(lambda m: plans.kpis(m.view("row"), FILTER_CATEGORY)),
-    "kpis_unknown": _q(lambda m: plans.kpis(m.view("row"), "Unknown")),
+    "kpis_row": _q(lambda m: _long_installs(plans.kpis(m.view("row")))),
+    "kpis_app": _q(lambda m: _long_installs(plans.kpis(m.view("app")))),
+    "kpis_category": _q(lambda m: _long_installs(plans.kpis(m.view("row"), FILTER_CATEGORY))),
+    "kpis_unknown": _q(lambda m: _long_installs(plans.kpis(m.view("row"), "Unknown"))),
     "top_rated_apps": _q(lambda m: plans.top_rated_apps(m.view("row"), None, 10, DIGITS)),
     "top_rated_apps_category": _q(
         lambda m: plans.top_rated_apps(m.view("row"), FILTER_CATEGORY, 10, DIGITS)),
     "rating_vs_installs": _q(
-        lambda m: plans.rating_vs_installs(m.view("row"), None, DIGITS)),
+        lambda m: _long_installs(plans.rating_vs_installs(m.view("row"), None, DIGITS))),
     "rating_vs_installs_sample": _q(
-        lambda m: plans.rating_vs_installs_sample(m.view("row"), None, 2000, digits=DIGITS)),
+        lambda m: _long_installs(plans.rating_vs_installs_sample(m.view("row"), None, 2000, digits=DIGITS))),
     "rating_vs_installs_sample_200": _q(
-        lambda m: plans.rating_vs_installs_sample(m.view("row"), None, 200, digits=DIGITS)),
+        lambda m: _long_installs(plans.rating_vs_installs_sample(m.view("row"), None, 200, digits=DIGITS))),
     "sentiment_distribution": _q(
         lambda m: _r(plans.sentiment_distribution(m.view("row")), "share")),
     "sentiment_distribution_category": _q(

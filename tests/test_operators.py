@@ -124,3 +124,19 @@ def test_rounded_mean_is_exact_on_halves(spark):
     assert neg.agg(op.rounded_mean("v", "w", 2)).first()[0] == -0.13
     empty = spark.createDataFrame([(None, 1)], "v double, w bigint")
     assert empty.agg(op.rounded_mean("v", "w", 2)).first()[0] is None
+
+
+def test_installs_beyond_bigint_are_summed_and_shown(spark):
+    from storelens import plans
+
+    rows = [("a", "G", 0.0, 4.0, 5_000_000_000, 2_000_000_000),
+            ("b", "G", 0.0, 2.0, 5_000_000_000, 2_000_000_000)]
+    apps = spark.createDataFrame(rows, "app_name string, category_name string, price double,"
+                                       " average_user_rating double, total_installs bigint, weight bigint")
+    sentiments = spark.createDataFrame([], "app_name string, category_name string,"
+                                           " review_sentiment string, weight bigint")
+    v = plans.FrameView(apps, sentiments)
+    k = plans.kpis(v).first()
+    assert int(k.total_installs) == 2 * 10 ** 19
+    assert k.installs_display == "20000000000.0B"
+    assert {int(r.total_installs) for r in plans.rating_vs_installs(v).collect()} == {10 ** 19}
