@@ -1,13 +1,15 @@
 """Best-fit packing by exact complements.
 
 The plan needs only how many pieces there are of each length, at most
-``capacity`` numbers however large the corpus.  Longest length first, a bin is
-opened for all pieces of that length at once and its gap is looked up among
-the sums of one, two and three available lengths; a combination that fills the
-gap exactly is consumed as often as its counts allow.  What has no exact
-complement goes, longest first, into the smallest gap that holds it (best
-fit), and the gap that remains is looked up again.  The plan is a table of
-slots (length, ranks from, count, first sequence, offset).
+``capacity`` numbers however large the corpus.  Longest length first, pieces
+go into the smallest gap that holds them (best fit), and a new bin is opened
+where none does.  Equal gaps are served together: as many pieces of the length
+as fit share a bin, so that equal pieces are each other's best fit, and where
+the sum of none, one, two or three available lengths fills what is left
+exactly, it is consumed as often as its counts allow.  Best fit decreasing
+without the complements is planned too, and the plan with fewer bins is taken.
+The plan is a table of slots (length, ranks from, count, first sequence,
+offset).
 
 Pieces then find their slot by their rank among the pieces of their length.
 Ranks come from windows over (length, salt) with about sqrt(n) salts, so that
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import bisect
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -79,8 +82,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
 
 
 class _Plan:
-    def __init__(self, counts: dict[int, int], capacity: int):
-        self.capacity = capacity
+    def __init__(self, counts: dict[int, int], capacity: int, exact: bool):
+        self.capacity, self.exact = capacity, exact
         self.left = np.zeros(capacity + 1, np.int64)
         for length, n in counts.items():
             self.left[length] = n
@@ -95,11 +98,9 @@ class _Plan:
         self.rank[length] += n
         self.left[length] -= n
 
-    def uses(self, combo: tuple[int, ...]) -> int:
-        return min(int(self.left[x]) // combo.count(x) for x in combo)
-
     def consume(self, combo: tuple[int, ...], first: int, n: int, gap: int) -> int:
-        k = min(n, self.uses(combo))
+        """Puts the combination in as many of the ``n`` bins as its counts allow."""
+        k = min(n, *(int(self.left[x]) // m for x, m in Counter(combo).items()))
         if k > 0:
             for x in combo:
                 self.put(x, k, first, gap)
@@ -114,34 +115,54 @@ class _Plan:
         b = total - a
         return a[(self.left[a] > 0) & (self.left[b] > 0) & ((a != b) | (self.left[a] > 1))]
 
-    def complements(self, gap: int):
-        """Available combinations with the exact sum ``gap``: one length, then
-        pairs, then triples; each is tested again when it is consumed."""
+    def complements(self, gap: int, longest: int):
+        """Available combinations with the exact sum ``gap``, none longer than
+        ``longest``: nothing, one length, then pairs, then triples; each is
+        tested again when it is consumed."""
+        if not gap:
+            yield ()
+            return
         if self.left[gap] > 0:
             yield (gap,)
-        for a in self.pair(gap).tolist():
-            yield a, gap - a
-        for a in range(gap - 2, (gap + 2) // 3 - 1, -1):
+        if gap <= 2 * longest:
+            for a in self.pair(gap).tolist():
+                yield a, gap - a
+        for a in range(min(gap - 2, longest), (gap + 2) // 3 - 1, -1):
             if self.left[a] > 0:
                 for b in self.pair(gap - a).tolist():
                     if b <= a:
                         yield a, b, gap - a - b
 
-    def fill(self, first: int, n: int, gap: int) -> None:
-        """``n`` equal bins from ``first`` with this gap."""
-        if gap:
-            for combo in self.complements(gap):
-                if not n:
-                    return
-                k = self.consume(combo, first, n, gap)
-                first, n = first + k, n - k
-            if n:
-                if gap not in self.open:
-                    self.open[gap] = []
-                    bisect.insort(self.gaps, gap)
-                self.open[gap].append((first, n))
-
-    def run(self) -> np.ndarray:
+    def place(self, length: int, first: int, n: int, gap: int) -> int:
+        """Pieces of ``length``, the longest there are, into up to ``n`` equal
+        bins from ``first`` with this gap; returns how many bins got some."""
+        begin, fit = first, gap // length
+        if self.exact:
+            for copies in range(fit, 0, -1):
+                rest = gap - copies * length
+                if rest > 3 * length:  # no three available lengths reach it
+                    break
+                for combo in self.complements(rest, length):
+                    k = self.consume((length,) * copies + combo, first, n, gap)
+                    first, n = first + k, n - k
+                    if not n or self.left[length] < copies:
+                        break
+        while n and self.left[length] > 0:
+            copies = min(fit, int(self.left[length]))
+            k = self.consume((length,) * copies, first, n, gap)
+            self.keep(first, k, gap - copies * length)
+            first, n = first + k, n - k
+        return first - begin
+
+    def keep(self, first: int, n: int, gap: int) -> None:
+        """``n`` equal bins from ``first`` stay open with this gap."""
+        if gap and n:
+            if gap not in self.open:
+                self.open[gap] = []
+                bisect.insort(self.gaps, gap)
+            self.open[gap].append((first, n))
+
+    def run(self) -> _Plan:
         for length in range(self.capacity, 0, -1):
             while self.left[length] > 0:
                 i = bisect.bisect_left(self.gaps, length)
@@ -150,27 +171,18 @@ class _Plan:
                     first, n = self.open[gap].pop()
                     if not self.open[gap]:
                         del self.open[gap], self.gaps[i]
-                    k = min(n, int(self.left[length]))
-                    if n > k:
-                        if gap not in self.open:
-                            self.open[gap] = []
-                            bisect.insort(self.gaps, gap)
-                        self.open[gap].append((first + k, n - k))
+                    k = self.place(length, first, n, gap)
+                    self.keep(first + k, n - k, gap)
                 else:
-                    first, gap, k = self.bins, self.capacity, int(self.left[length])
-                    # equal lengths that fit together share a bin
-                    other = self.capacity - length
-                    if other >= length and not self.left[1:length].any():
-                        k = -(-k // (self.capacity // length))
-                    self.bins += k
-                self.put(length, k, first, gap)
-                self.fill(first, k, gap - length)
-        return np.array(sorted(self.slots), np.int64).reshape(-1, 5)
+                    self.bins += self.place(length, self.bins, int(self.left[length]), self.capacity)
+        return self
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     """Slots (length, rank from, count, first sequence, offset), sorted."""
-    return _Plan(counts, capacity).run()
+    best = min((_Plan(counts, capacity, exact).run() for exact in (True, False)),
+               key=lambda p: p.bins)
+    return np.array(sorted(best.slots), np.int64).reshape(-1, 5)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -178,6 +178,34 @@ def test_packing_plan(seed):
         assert at <= 64
 
 
+def best_fit_decreasing(counts, capacity):
+    gaps = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            i = min((i for i, g in enumerate(gaps) if g >= length), key=gaps.__getitem__, default=None)
+            if i is None:
+                gaps.append(capacity - length)
+            else:
+                gaps[i] -= length
+    return len(gaps)
+
+
+def test_packing_hot_length():
+    """One length holds many pieces: equal pieces share bins, whatever is shorter."""
+    def bins(counts, capacity):
+        slots = exact_packing.plan(counts, capacity)
+        assert {x: int(slots[slots[:, 0] == x, 2].sum()) for x in counts} == counts
+        return int((slots[:, 2] + slots[:, 3]).max())
+    assert bins({1024: 1000, 10: 1}, 2048) == 501 and bins({300: 600, 10: 1}, 2048) == 100
+    assert bins({1024: 3, 1000: 1, 24: 1}, 2048) == 2 and bins({700: 10**9, 3: 5}, 2048) == 5 * 10**8
+    rng = random.Random(12)
+    for _ in range(60):
+        counts = {rng.randrange(1, 129): rng.randrange(1, 20) for _ in range(rng.randrange(1, 40))}
+        counts[rng.randrange(1, 129)] = rng.randrange(100, 200)
+        n, area = bins(counts, 128), sum(k * v for k, v in counts.items())
+        assert -(-area // 128) <= n <= best_fit_decreasing(counts, 128)
+
+
 def brute_base(text):
     out = []
     for k, p in enumerate((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
