@@ -254,6 +254,15 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(empty(spark)).collect() == []
 
 
+def test_line_dedup_short(spark):
+    """Exact copies go at any number of words, also in scripts without blanks."""
+    docs = odd_docs(spark, [(1, "Read more!\n这是一个没有空格的句子\nsubscribe\nok"),
+                            (2, "read more\n这是一个没有空格的句子。\nSubscribe\nok\nkept line")])
+    by = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert by[1].removed_lines == [] and by[2].removed_lines == [0, 1, 2]
+    assert by[2].text == "ok\nkept line"
+
+
 def test_edit_distance():
     def plain(a, b):
         row = list(range(len(b) + 1))
