@@ -263,6 +263,35 @@ def test_line_dedup_short(spark):
     assert by[2].text == "ok\nkept line"
 
 
+def brute_lines(rows):
+    """{id: numbers of removed lines} by comparing all lines with each other."""
+    where, norm = [], []
+    for i, text in sorted(rows):
+        for n, line in enumerate(text.split("\n")):
+            where.append((i, n))
+            norm.append(" ".join(re.findall(r"\w+", line.lower())))
+    links = [(x, y) for x in range(len(norm)) for y in range(x) if line_dedup.similar(norm[x], norm[y])]
+    group = components(range(len(norm)), links)
+    out = {i: [] for i, _ in rows}
+    for x, g in group.items():
+        if x != g:
+            out[where[x][0]].append(where[x][1])
+    return out
+
+
+def test_line_dedup_one_letter(spark):
+    """One letter changed, in lines of 3 words and more."""
+    rng, rows = random.Random(13), []
+    for i in range(120):
+        line = " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
+                        for _ in range(rng.choice([3, 6, 12, 25, 50, 120])))
+        at = rng.choice([k for k, c in enumerate(line) if c != " "])
+        rows += [(2 * i, line), (2 * i + 1, f"{line[:at]}z{line[at + 1:]}")]
+    got = {r.doc_id: r.removed_lines for r in line_dedup.dedup_lines(odd_docs(spark, rows)).collect()}
+    want = brute_lines(rows)
+    assert got == want and sum(map(len, want.values())) >= 115
+
+
 def test_edit_distance():
     def plain(a, b):
         row = list(range(len(b) + 1))
