@@ -292,6 +292,22 @@ def test_line_dedup_one_letter(spark):
     assert got == want and sum(map(len, want.values())) >= 115
 
 
+@pytest.mark.parametrize("small", [2, 1000])
+def test_line_dedup_shared_simhash(spark, monkeypatch, small):
+    """One word is the majority: one SimHash for lines in several components."""
+    monkeypatch.setattr(line_dedup, "SMALL", small)
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    rng, rows = random.Random(14), []
+    for i in range(30):
+        other = ["".join(rng.choices("abcdefghij", k=4)) for _ in range(9)]
+        line = " ".join(["de"] * 10 + other)
+        rows += [(3 * i, line), (3 * i + 1, line + "x"), (3 * i + 2, line + "xyz")]
+    assert len(set(line_dedup.simhashes([x for _, x in rows]).tolist())) == 1
+    got = {r.doc_id: r.removed_lines for r in line_dedup.dedup_lines(odd_docs(spark, rows)).collect()}
+    want = brute_lines(rows)
+    assert got == want and sum(map(len, want.values())) == 60
+
+
 def test_edit_distance():
     def plain(a, b):
         row = list(range(len(b) + 1))
