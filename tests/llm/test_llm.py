@@ -366,6 +366,23 @@ def test_licenses(spark):
     assert license_scan.scan(docs.limit(0)).collect() == []
 
 
+def test_license_files(spark):
+    """Long licence files decide for their directory; a header may be wrapped
+    over lines or stand in a long line."""
+    other = " ".join(random.Random(15).choices(WORDS, k=300))
+    mit = ("Copyright (c) 2020 Somebody\n\nPermission is hereby granted, free of charge, to any person\n"
+           f"obtaining a copy of this software and associated documentation\nfiles, to deal {other}")
+    gpl = ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\n" + other
+           + "\na work licensed under version 3 of the GNU Affero General Public License " + other)
+    rows = [(1, mit, "m/LICENSE.txt"), (2, "code", "m/x"), (3, gpl, "g/COPYING"), (4, "code", "g/h/y"),
+            (5, f"{other} released under the MIT License {other}", "p/q"), (6, "code", "p/r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = {r.doc_id: (r.license, r.inherited_from, r.is_license_file)
+           for r in license_scan.scan(docs).collect()}
+    assert got == {1: ("MIT", None, True), 2: ("MIT", "m", False), 3: ("GPL-3.0", None, True),
+                   4: ("GPL-3.0", "g", False), 5: ("MIT", None, False), 6: (None, None, False)}
+
+
 def test_winnowing(spark):
     docs = queries.documents(spark, SF, "doc_id", "text").unionByName(
         spark.createDataFrame([(9000, None), (9001, ""), (9002, "one two")], "doc_id long, text string"))
