@@ -1,14 +1,15 @@
 """Personal data: fixed patterns, then information-theoretic sanitisation.
 
 Base spans are e-mail addresses, IP addresses, payment cards and phone
-numbers.  Each base value is a protected entity e.  Words that stand within
-``WINDOW`` words of a mention are candidate terms t; over the whole corpus the
-documents that mention e (n_e), hold t (n_t) and hold t near e (n_et) are
-counted.  What t discloses about e is their pointwise mutual information,
-log2(N n_et / (n_e n_t)), against the entity's own information log2(N / n_e)
-(Sanchez, Batet and Viejo, 2013).  A term whose share is at least ``DISCLOSE``
-is removed where it stands near e; at least ``SUPPORT`` joint documents are
-asked for, as one joint document shows nothing.
+numbers.  Each base value is a protected entity e.  All words of the documents
+that mention it are candidate terms t; over the whole corpus the documents that
+mention e (n_e), hold t (n_t) and hold both (n_et) are counted.  What t discloses
+about e is their pointwise mutual information, log2(N n_et / (n_e n_t)), against
+the entity's own information log2(N / n_e) (Sanchez, Batet and Viejo, 2013).  A
+term whose share is at least ``DISCLOSE`` is removed wherever it stands, also in
+documents that do not mention e; at least ``SUPPORT`` joint documents are asked
+for, as one joint document shows nothing, and e is in half of all documents at
+most.
 
 Null and empty texts have no spans.  Spans are code points, end exclusive.
 """
@@ -16,8 +17,10 @@ Null and empty texts have no spans.  Spans are code points, end exclusive.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from storelens.llm.common import map_arrow, text_slices, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-WINDOW, SUPPORT, DISCLOSE = 4, 3, 0.95
+SUPPORT, DISCLOSE, MARKS = 3, 0.95, 1 << 20
 # The patterns of the four base kinds.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -75,42 +78,49 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _near(text: str, spans) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words near each base span."""
-    out = []
+def _entities(text: str, spans) -> list[str]:
+    out = set()
     for start, kind, end in spans:
         value = re.sub(r"[^0-9a-z.@]", "", text[start:end].lower()) if kind != 0 else text[start:end].lower()
-        entity = f"{KINDS[kind]}:{value}"
-        # far enough for the window, whatever the words' lengths in ordinary text
-        before = [m for m in _WORD.finditer(text, max(0, start - 40 * WINDOW), start)][-WINDOW:]
-        after = []
-        for m in _WORD.finditer(text, end, min(len(text), end + 40 * WINDOW)):
-            after.append(m)
-            if len(after) == WINDOW:
-                break
-        for m in before + after:
-            if not any(a < m.end() and m.start() < b for a, _, b in spans):
-                out.append((entity, m.group().lower(), m.start(), m.end()))
+        out.add(f"{KINDS[kind]}:{value}")
+    return sorted(out)
+
+
+def _words_outside(text: str, spans) -> list[tuple[str, int, int]]:
+    """(word, start, end) of the words that no base span touches."""
+    out, i, reach = [], 0, 0
+    for m in _WORD.finditer(text):
+        while i < len(spans) and spans[i][0] < m.end():
+            reach, i = max(reach, spans[i][2]), i + 1
+        if reach <= m.start():
+            out.append((m.group().lower(), m.start(), m.end()))
     return out
 
 
 def _detect(batches):
     for batch in batches:
         for part in text_slices(batch, "text"):
-            ids, base, near = [], [], []
+            ids, base, entities = [], [], []
             for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 spans = base_spans(text) if text else []
                 ids.append(i)
                 base.append([{"start": a, "kind": KINDS[k], "end": b} for a, k, b in spans])
-                near.append([{"entity": e, "term": t, "start": a, "end": b}
-                             for e, t, a, b in (_near(text, spans) if spans else [])])
+                entities.append(_entities(text, spans) if spans else [])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.string()),
                  pa.array(base, pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()),
                                                     ("end", pa.int64())]))),
-                 pa.array(near, pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()),
-                                                    ("start", pa.int64()), ("end", pa.int64())])))],
-                names=["key", "base", "near"])
+                 pa.array(entities, pa.list_(pa.string()))], names=["key", "base", "entities"])
+
+
+def _mark(word: str) -> int:
+    return zlib.crc32(word.encode()) % MARKS
+
+
+def _marks(df: DataFrame, column: str) -> list[int]:
+    """The marks of a column's values, ``MARKS`` numbers at most."""
+    return [r[0] for r in df.select(
+        (F.crc32(F.col(column).cast("binary")) % MARKS).cast("int")).distinct().collect()]
 
 
 def _document_words(batches):
@@ -142,28 +152,73 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # a row's key: its id and its text, so that repeated ids stay apart
     keyed = source.select(F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("")),
                                       F.xxhash64("text").cast("string")).alias("key"), "text", "id")
+    rows = keyed.select(F.concat_ws("#", "key", F.coalesce(F.col("id").cast("string"), F.lit("-")))
+                        .alias("key"), "text")
     found, _ = written(map_arrow(
-        keyed.select(F.concat_ws("#", "key", F.coalesce(F.col("id").cast("string"), F.lit("-")))
-                     .alias("key"), "text"), _detect,
-        "key string, base array<struct<start bigint, kind string, end bigint>>, "
-        "near array<struct<entity string, term string, start bigint, end bigint>>"), "pii-found")
-    near = found.where("size(near) > 0").select("key", F.explode("near").alias("x")) \
-        .select("key", "x.*").distinct()
-    near, _ = written(near, "pii-near")
+        rows, _detect, "key string, base array<struct<start bigint, kind string, end bigint>>, "
+        "entities array<string>"), "pii-found")
     total = found.count()
-    by_entity = near.groupBy("entity").agg(F.countDistinct("key").alias("n_e"))
+    mentions, _ = written(found.where("size(entities) > 0").select(
+        "key", F.explode("entities").alias("entity")).distinct(), "pii-mentions")
+    # fewer mentions can't have SUPPORT joint documents
+    by_entity, _ = written(mentions.groupBy("entity").agg(F.count("*").alias("n_e"))
+                           .where(f"n_e >= {SUPPORT} AND n_e * 2 <= {total}"), "pii-entities")
+    near = mentions.join(by_entity, "entity")
+    holders = _marks(by_entity, "entity")
+
+    def candidates(batches):
+        """(key, term) of the documents that mention an entity of these marks."""
+        have = np.zeros(MARKS, bool)
+        have[holders] = True
+        for batch in batches:
+            for part in text_slices(batch, "text", 1 << 20):
+                keys, terms = [], []
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                     strict=True):
+                    spans = base_spans(text) if text else []
+                    if spans and any(have[_mark(e)] for e in _entities(text, spans)):
+                        found = {w for w, _, _ in _words_outside(text, spans)}
+                        keys += [key] * len(found)
+                        terms += found
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.string()), pa.array(terms, pa.string())], names=["key", "term"])
+
+    words = map_arrow(rows if holders else rows.limit(0), candidates,
+                      "key string, term string").distinct()
     pairs, _ = written(
-        near.groupBy("entity", "term").agg(F.countDistinct("key").alias("n_et"))
-        .where(f"n_et >= {SUPPORT}").join(by_entity, "entity"), "pii-pairs")
+        near.join(words, "key").groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"))
+        .where(f"n_et >= {SUPPORT}"), "pii-pairs")
     wanted = pairs.select("term").distinct()
     by_term = map_arrow(source.select("text"), _document_words, "term string, n long") \
         .join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
     flagged, _ = written(
         pairs.join(by_term, "term")
         .where(f"log2({total}D * n_et / (cast(n_e as double) * n_t))"
-               f" >= {DISCLOSE} * log2({total}D / n_e) and n_e * 2 <= {total}")
-        .select("entity", "term"), "pii-flagged")
-    terms = near.join(flagged, ["entity", "term"]).groupBy("key").agg(
+               f" >= {DISCLOSE} * log2({total}D / n_e)")
+        .select("term").distinct(), "pii-flagged")
+    # words whose mark no flagged term has stay in their task
+    marks = _marks(flagged, "term")
+
+    def places(batches):
+        have = np.zeros(MARKS, bool)
+        have[marks] = True
+        for batch in batches:
+            for part in text_slices(batch, "text", 1 << 20):
+                out = []
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                     strict=True):
+                    if text and any(have[_mark(w)]
+                                    for w in set(_WORD.findall(text.lower()))):
+                        out += [(key, w, a, b) for w, a, b in _words_outside(text, base_spans(text))
+                                if have[_mark(w)]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string()),
+                     pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.int64())],
+                    names=["key", "term", "start", "end"])
+
+    placed = map_arrow(rows if marks else rows.limit(0), places,
+                       "key string, term string, start long, end long")
+    terms = placed.join(flagged, "term", "left_semi").groupBy("key").agg(
         F.sort_array(F.collect_set(F.struct("start", F.lit("term").alias("kind"), "end"))).alias("terms"))
     out = found.select("key", "base").join(terms, "key", "left")
     return out.select(
@@ -191,7 +246,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     columns = docs.columns
     key = F.concat_ws("|", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")),
                       F.xxhash64(F.col(text_col)).cast("string"))
-    spans = find_spans(docs, id_col, text_col).where("size(base) > 0").select(
+    spans = find_spans(docs, id_col, text_col).where("size(base) + size(terms) > 0").select(
         F.col("key").alias("_key"), F.concat("base", "terms").alias("_spans")).dropDuplicates(["_key"])
     joined = docs.withColumn("_key", key).join(spans, "_key", "left")
 

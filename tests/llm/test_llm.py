@@ -241,6 +241,16 @@ def test_pii_terms_and_text(spark):
     assert text[1000] is None and pii_sanitise.sanitise(empty(spark)).collect() == []
 
 
+def test_pii_terms_far_away(spark):
+    """A name goes where it stands far from the address, and without it."""
+    rows = [(i, "plain words here and there, one two three four five six seven") for i in range(60)]
+    rows += [(100 + i, "me@host.org plain words here and there one two three four five six zarquon")
+             for i in range(20)] + [(200, "here Zarquon alone and there")]
+    text = {r.doc_id: r.text for r in pii_sanitise.sanitise(odd_docs(spark, rows)).collect()}
+    assert text[100] == "[email] plain words here and there one two three four five six "
+    assert text[200] == "here  alone and there" and text[3] == rows[3][1]
+
+
 def test_line_dedup(spark):
     line = " ".join(random.Random(8).choices(WORDS, k=300)) + " today"
     near = next(x for x in (f"{line[:-5]}{w}" for w in WORDS) if bin(int(np.bitwise_xor(
