@@ -40,10 +40,12 @@ def op2_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents have no path: a folder per source, with folders of 1,000 and
-    of 100 ids below."""
+    of 100 ids below.  One in ten lies directly in the source's folder and one
+    in ten in that of 1,000 ids."""
     docs = documents(spark, sf_dir, "doc_id", "text", "source").withColumn("path", F.concat_ws(
-        "/", F.coalesce("source", F.lit("unknown")), F.expr("doc_id div 1000"),
-        F.expr("doc_id div 100"), "doc_id"))
+        "/", F.coalesce("source", F.lit("unknown")),
+        F.expr("CASE WHEN pmod(doc_id, 10) <> 0 THEN doc_id div 1000 END"),
+        F.expr("CASE WHEN pmod(doc_id, 10) > 1 THEN doc_id div 100 END"), "doc_id"))
     return license_scan.scan(docs)
 
 

@@ -376,6 +376,20 @@ def test_licenses(spark):
     assert license_scan.scan(docs.limit(0)).collect() == []
 
 
+def test_license_query_nested(spark, tmp_dir):
+    """Every depth of folders can decide in the registered query."""
+    texts = {10: "Released under the MIT License.", 1001: "Licensed under CC BY 4.0.",
+             1102: "Licensed under the Apache License, Version 2.0"}
+    rows = [(i, texts.get(i, "code"), "s") for i in (10, 12, 20, 1001, 1011, 1012, 1102, 1103, 2002)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    got = {r.doc_id: (r.license, r.inherited_from)
+           for r in queries.op3_license_scan(spark, tmp_dir).collect()}
+    assert got == {10: ("MIT", None), 12: ("MIT", "s"), 20: ("MIT", "s"), 1001: ("CC-BY-4.0", None),
+                   1011: ("CC-BY-4.0", "s/1"), 1012: ("CC-BY-4.0", "s/1"), 1102: ("Apache-2.0", None),
+                   1103: ("Apache-2.0", "s/1/11"), 2002: ("MIT", "s")}
+
+
 def test_license_files(spark):
     """Long licence files decide for their directory; a header may be wrapped
     over lines or stand in a long line."""
