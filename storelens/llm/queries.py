@@ -18,6 +18,9 @@ from storelens.llm import (
     line_dedup,
     minhash_dedup,
     pii_sanitise,
+    secret_scan,
+    spelling_variants,
+    token_alignment,
     toxicity_pu,
     winnowing,
 )
@@ -53,10 +56,10 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op5_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +110,34 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    found = secret_scan.find_spans(docs, secret_scan.learn(secret_scan.labelled(docs)))
+    base = F.filter("secrets", lambda x: x["kind"] != "random")
+    counts = [F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}")
+              for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts,
+                        F.sha2(secret_scan.span_list(base), 256).alias("base_sha256"),
+                        secret_scan.span_list(F.col("secrets")).alias("spans"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return spelling_variants.variants(spelling_variants.word_counts(docs)).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(
+        documents(spark, sf_dir, "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return token_alignment.with_link_counts(
+        aligned.withColumn("groups_sha256", digest).drop("groups")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+        "n_overlaps")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embed_dedup": op1_embed_dedup,
     "op2_toxicity_pu": op2_toxicity_pu,
@@ -118,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_id": op8_lang_id,
     "op9_winnowing": op9_winnowing,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {}
