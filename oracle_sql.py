@@ -185,6 +185,20 @@ SELECT fm.app_name, dc.app_category AS category_name, fm.app_price AS price,
 FROM fact_keyed fm JOIN dim_categories dc ON fm.category_id = dc.category_id""")
 
 
+# Where every keyed group's first listing stands in the part file (its key
+# counts the rows).
+cte("first_places", ("na_apps_placed",), f"""
+SELECT {key('App', 'ver')} AS app_id, App AS app_name, {key('cat', 'gen')} AS category_id, min(p_partkey) AS place
+FROM (SELECT App, p_partkey, coalesce(Category, 'UNKNOWN') AS cat, coalesce(Genres, 'Unknown') AS gen,
+        coalesce(Current_Ver, 'Varies with device') AS ver,
+        regexp_replace(replace(replace(Installs, ',', ''), '+', ''), {STRIP}, '', 'g') AS inst
+      FROM na_apps_placed) s
+WHERE App IS NOT NULL AND regexp_matches(inst, '^[0-9]+$') GROUP BY 1, 2, 3""")
+
+cte("na_apps_placed", (), "SELECT p_partkey, " + ", ".join(na(c) for c in APP_COLS)
+    + " FROM (" + CTE["raw_apps"][1].replace("SELECT p_name", "SELECT p_partkey, p_name", 1) + ") s")
+
+
 def with_ctes(body: str, *roots: str) -> str:
     order: list[str] = []
 
@@ -314,6 +328,78 @@ SELECT app_name, 'Unknown' AS category_name, CAST(0.0 AS DOUBLE) AS average_user
  CAST(NULL AS VARCHAR) AS review_sentiment, CAST(0.0 AS DOUBLE) AS app_size_mb
 FROM fact""", "fact"),
     "csv_roundtrip": with_ctes("SELECT * FROM stg_reviews", "stg_reviews"),
+    "raw_csv_apps": with_ctes("SELECT * FROM raw_apps", "raw_apps"),
+    "raw_csv_reviews": with_ctes(
+        "SELECT * REPLACE (replace(Translated_Review, '-', chr(10)) AS Translated_Review) FROM raw_reviews",
+        "raw_reviews"),
+    "csv_roundtrip_apps": with_ctes("SELECT * FROM stg_apps", "stg_apps"),
+    "landing_refresh": with_ctes("SELECT * FROM clean_apps", "clean_apps"),
+    "warehouse_fact": with_ctes(
+        "SELECT * REPLACE (round(avg_sentiment, 6) AS avg_sentiment) FROM fact", "fact"),
+    "kpis_by_category": with_ctes(f"""
+SELECT category_name, total_apps, avg_rating, total_installs,
+ {compact('total_installs')} AS installs_display, format('{{:,}}', total_apps) AS total_apps_display
+FROM (SELECT category_name, count(DISTINCT app_name) AS total_apps,
+        coalesce({exact_mean('average_user_rating', 2)}, CAST(0.0 AS DOUBLE)) AS avg_rating,
+        CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs
+      FROM (SELECT * REPLACE (coalesce(category_name, 'Unknown') AS category_name) FROM frame
+            UNION ALL BY NAME SELECT * REPLACE (NULL AS category_name) FROM frame) f
+      GROUP BY category_name) k""", "frame"),
+    "top_rated_by_category": with_ctes(f"""
+SELECT category_name, CAST(rank AS INTEGER) AS rank, app_name, average_user_rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY category_name ORDER BY average_user_rating DESC NULLS LAST,
+                               app_name ASC NULLS LAST) AS rank
+  FROM (SELECT category_name, app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating
+        FROM (SELECT * REPLACE (coalesce(category_name, 'Unknown') AS category_name) FROM frame
+              UNION ALL BY NAME SELECT * REPLACE (NULL AS category_name) FROM frame) f
+        GROUP BY category_name, app_name) g) r
+WHERE rank <= 10""", "frame"),
+    "sentiment_by_category": with_ctes("""
+SELECT category_name, review_sentiment, n,
+ round(CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY category_name) AS DOUBLE), 6) AS share
+FROM (SELECT category_name, review_sentiment, CAST(count(*) AS BIGINT) AS n
+      FROM (SELECT * REPLACE (coalesce(category_name, 'Unknown') AS category_name) FROM frame
+            UNION ALL BY NAME SELECT * REPLACE (NULL AS category_name) FROM frame) f
+      WHERE review_sentiment IS NOT NULL GROUP BY category_name, review_sentiment) s""", "frame"),
+    "sentiment_distribution_app": with_ctes("""
+SELECT review_sentiment, n, round(CAST(n AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE), 6) AS share
+FROM (SELECT review_sentiment, CAST(count(*) AS BIGINT) AS n
+      FROM app_rows a JOIN stg_reviews r ON a.app_name = r.app_name
+      WHERE review_sentiment IS NOT NULL GROUP BY review_sentiment) s""", "app_rows", "stg_reviews"),
+    "top_rated_apps_app": with_ctes(f"""
+SELECT app_name, average_user_rating FROM (
+  SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating
+  FROM app_rows GROUP BY app_name) g
+ORDER BY average_user_rating DESC NULLS LAST, app_name ASC NULLS LAST LIMIT 10""", "app_rows"),
+    "rating_vs_installs_app": with_ctes(f"""
+SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating,
+ CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs,
+ min(price) AS price, coalesce(min(price), CAST(0.0 AS DOUBLE)) AS price_numeric_viz
+FROM app_rows GROUP BY app_name""", "app_rows"),
+    "rating_vs_installs_first_price": with_ctes(f"""
+SELECT f.app_name, f.average_user_rating, f.total_installs, p.price,
+ coalesce(p.price, CAST(0.0 AS DOUBLE)) AS price_numeric_viz
+FROM (SELECT app_name, {exact_mean('average_user_rating', 6)} AS average_user_rating,
+        CAST(coalesce(sum(total_installs), 0) AS BIGINT) AS total_installs
+      FROM frame GROUP BY app_name) f
+LEFT JOIN (SELECT da.app_name, arg_min(k.app_price, o.place) AS price
+      FROM fact_keyed k
+      JOIN first_places o ON k.app_id = o.app_id AND k.category_id = o.category_id
+       AND k.app_name IS NOT DISTINCT FROM o.app_name
+      JOIN dim_apps da ON k.app_id = da.app_id JOIN dim_categories dc ON k.category_id = dc.category_id
+      WHERE k.app_price IS NOT NULL GROUP BY da.app_name) p
+ ON f.app_name IS NOT DISTINCT FROM p.app_name""", "frame", "first_places"),
+    "dq_suite": with_ctes("""
+SELECT "check", "column", failures, failures = 0 AS passed FROM (
+  SELECT 'unique' AS "check", 'source_unique_key' AS "column", CAST(count(*) AS BIGINT) AS failures
+  FROM (SELECT 1 FROM stg_apps WHERE source_unique_key IS NOT NULL
+        GROUP BY source_unique_key HAVING count(*) > 1) u
+  UNION ALL SELECT 'unique', 'app_name', CAST(count(*) AS BIGINT)
+  FROM (SELECT 1 FROM stg_apps WHERE app_name IS NOT NULL GROUP BY app_name HAVING count(*) > 1) u
+  UNION ALL SELECT 'not_null', 'app_name', CAST(count(*) - count(app_name) AS BIGINT) FROM stg_apps
+  UNION ALL SELECT 'not_null', 'app_size_bytes', CAST(count(*) - count(app_size_bytes) AS BIGINT) FROM stg_apps
+  UNION ALL SELECT 'not_null', 'last_updated_date', CAST(count(*) - count(last_updated_date) AS BIGINT)
+  FROM stg_apps) s""", "stg_apps"),
     "pipeline_fact_keyed": with_ctes(
         "SELECT * REPLACE (round(avg_sentiment, 6) AS avg_sentiment) FROM fact_keyed",
         "fact_keyed"),

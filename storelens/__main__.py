@@ -16,14 +16,15 @@ import argparse
 import sys
 
 from storelens import plans
+from storelens.sinks import read_current
 from storelens.sources import read_apps_csv, read_reviews_csv
 
 
 def _tables(spark, warehouse: str):
     def read(name):
-        return spark.read.parquet(f"{warehouse.rstrip('/')}/{name}")
+        return read_current(spark, f"{warehouse.rstrip('/')}/{name}")
     return (read("fact_app_metrics_keyed"), read("dim_apps"), read("dim_categories"),
-            read("stg_reviews"))
+            None, read("review_counts"))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -34,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     pp.add_argument("--reviews", required=True)
     pp.add_argument("--out", required=True)
     pp.add_argument("--multiline", action="store_true",
-                    help="quoted fields may contain newlines (files are not split)")
+                    help="quoted fields may contain newlines")
     pt = sub.add_parser("top-rated")
     pt.add_argument("--warehouse", required=True)
     pt.add_argument("-n", type=int, default=5)
@@ -53,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"landed {report['apps_landed']} apps and {report['reviews_landed']} reviews; "
               f"models written to {args.out}")
     elif args.cmd == "top-rated":
-        keyed, dim_apps, _, _ = _tables(spark, args.warehouse)
+        keyed, dim_apps, *_ = _tables(spark, args.warehouse)
         plans.top_rated(keyed, dim_apps, args.n).show(args.n, truncate=False)
     else:
         v = plans.view(plans.DashboardInputs(*_tables(spark, args.warehouse))).cache()

@@ -7,6 +7,8 @@ explicit pattern so that only plain decimal numbers convert.
 
 from __future__ import annotations
 
+import sys
+
 from storelens.functions.sql import as_column, lit, regex
 from storelens.functions.text import strip_ws_sql
 
@@ -24,9 +26,13 @@ def finite_sql(x: str) -> str:
     return f"CASE WHEN abs({x}) < CAST('Infinity' AS DOUBLE) THEN {x} END"
 
 
-def to_number_sql(x: str) -> str:
-    """Double, or NULL when the text is not a plain number or too large for one."""
-    return finite_sql(f"CASE WHEN {x} RLIKE {regex(NUMBER_RE)} THEN try_cast({x} AS DOUBLE) END")
+def to_number_sql(x: str, times: int = 1) -> str:
+    """Double, ``times`` (a power of two) as large, or NULL when the text is
+    not a plain number or too large for one.  The pattern is matched once."""
+    most = f"CAST({sys.float_info.max / times!r} AS DOUBLE)"
+    value = f"try_cast({x} AS DOUBLE)"
+    return (f"CASE WHEN {x} RLIKE {regex(NUMBER_RE)} AND abs({value}) <= {most} "
+            f"THEN {value}{'' if times == 1 else f' * {times}'} END")
 
 
 def nan_to_null_sql(x: str) -> str:
@@ -60,11 +66,11 @@ def size_to_bytes_sql(x: str, varies: str = "Varies with device") -> str:
     Suffixes are case-sensitive; every 'M' (or 'k') in the text is removed
     before the number is read.
     """
-    mega = to_number_sql(f"replace({x}, 'M', '')")
-    kilo = to_number_sql(f"replace({x}, 'k', '')")
+    mega = to_number_sql(f"replace({x}, 'M', '')", MB)
+    kilo = to_number_sql(f"replace({x}, 'k', '')", KB)
     return (f"CASE WHEN {x} = {lit(varies)} THEN CAST(NULL AS DOUBLE) "
-            f"WHEN {x} LIKE '%M' THEN {finite_sql(f'({mega}) * {MB}')} "
-            f"WHEN {x} LIKE '%k' THEN {finite_sql(f'({kilo}) * {KB}')} "
+            f"WHEN {x} LIKE '%M' THEN {mega} "
+            f"WHEN {x} LIKE '%k' THEN {kilo} "
             f"ELSE CAST(NULL AS DOUBLE) END")
 
 

@@ -3,6 +3,7 @@
 from storelens.operators.aggregates import (
     equal_width_histogram,
     rounded_mean,
+    share_of_total,
     value_counts,
     weighted_mean,
     weighted_sum,
@@ -14,6 +15,7 @@ from storelens.operators.quality import (
     has_columns,
     is_empty,
     not_null_violations,
+    suite,
     unique_violations,
 )
 from storelens.operators.rows import distinct_on, exact_sample, expand_rows, top_k
@@ -21,6 +23,6 @@ from storelens.operators.rows import distinct_on, exact_sample, expand_rows, top
 __all__ = [
     "default_for", "distinct_on", "ensure_columns", "equal_width_histogram",
     "exact_sample", "expand_rows", "has_columns", "is_empty",
-    "not_null_violations", "rounded_mean", "top_k", "unique_violations", "value_counts",
+    "not_null_violations", "rounded_mean", "share_of_total", "suite", "top_k", "unique_violations", "value_counts",
     "weighted_mean", "weighted_sum", "with_share",
 ]

@@ -3,13 +3,16 @@ weighted means."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions.sql import ident
 from storelens.functions.sql import project
 
 
+SHARE_GROUPS = 16
+
+
 def value_counts(df: DataFrame, column: str, weight: str | None = None,
                  out: str = "n") -> DataFrame:
     """Count (or summed integer weight) per non-NULL value of ``column``,
@@ -28,6 +31,23 @@ def with_share(grouped: DataFrame, count_col: str = "n", out: str = "share") ->
     return grouped.withColumn(out, F.try_divide(F.col(count_col), total))
 
 
+def share_of_total(df: DataFrame, label: str, weight: str, count_col: str = "n",
+                   out: str = "share") -> DataFrame:
+    """Summed integer weight per non-NULL ``label`` and its share of the total.
+    Labels and total come from one ROLLUP, so from one shuffle of one run of
+    the view.  The total's row then goes to each of ``SHARE_GROUPS`` groups of
+    labels: no group gathers them all, however many labels there are."""
+    rolled = (df.where(F.col(label).isNotNull()).rollup(label)
+              .agg(F.expr(f"CAST(sum({ident(weight)}) AS BIGINT)").alias(count_col),
+                   F.expr("max(grouping_id())").alias("_level")))
+    groups = F.when(F.col("_level") == 1, F.sequence(F.lit(0), F.lit(SHARE_GROUPS - 1))).otherwise(
+        F.array(F.pmod(F.hash(label), F.lit(SHARE_GROUPS))))
+    dealt = rolled.withColumn("_group", F.explode(groups))
+    total = F.max(F.when(F.col("_level") == 1, F.col(count_col))).over(Window.partitionBy("_group"))
+    return dealt.withColumn("_total", total).where("_level = 0").select(
+        label, count_col, F.try_divide(F.col(count_col), F.col("_total")).alias(out))
+
+
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 20,
                           lo: float = 0.0, hi: float = 1.0) -> DataFrame:
     """Counts in ``bins`` equal bins over [lo, hi]; the last bin is closed,
@@ -71,7 +91,12 @@ def rounded_mean(value: str, weight: str, digits: int, scale: int = 6) -> Column
     if not 0 <= digits <= scale:
         raise ValueError("need 0 <= digits <= scale")
     v, w = ident(value), ident(weight)
-    finite = f"CASE WHEN abs({v}) < CAST('Infinity' AS DOUBLE) THEN {v} END"
+    # units of larger values might not fit; a mean that has one is a plain
+    # double mean (such doubles have no decimals to round exactly)
+    large = f"abs({v}) >= 1e15D AND abs({v}) < CAST('Infinity' AS DOUBLE)"
+    plain = (f"round(sum(CASE WHEN abs({v}) < CAST('Infinity' AS DOUBLE) THEN {v} * {w} END) "
+             f"/ sum(CASE WHEN abs({v}) < CAST('Infinity' AS DOUBLE) THEN {w} END), {digits})")
+    finite = f"CASE WHEN abs({v}) < 1e15D THEN {v} END"
     units = f"CAST(round({finite} * {10 ** scale}D) AS DECIMAL(38, 0))"
     total = f"sum({units} * CAST({w} AS DECIMAL(38, 0)))"
     # exactly the rows that are summed: a non-finite value is in neither
@@ -79,6 +104,6 @@ def rounded_mean(value: str, weight: str, digits: int, scale: int = 6) -> Column
     step = 10 ** (scale - digits)
     half_up = f"((2 * abs({total}) + {count} * {step}) div (2 * {count} * {step}))"
     return F.expr(
-        f"CASE WHEN {count} > 0 THEN "
+        f"CASE WHEN count_if({large}) > 0 THEN {plain} WHEN {count} > 0 THEN "
         f"CAST(CASE WHEN {total} < 0 THEN -{half_up} ELSE {half_up} END AS DOUBLE) "
         f"/ {10 ** digits}D END")

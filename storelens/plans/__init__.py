@@ -10,10 +10,13 @@ from storelens.plans.dashboard import (
     for_category,
     frame_view,
     kpis,
+    kpis_by_category,
     rating_vs_installs,
     rating_vs_installs_sample,
+    sentiment_by_category,
     sentiment_distribution,
     top_rated_apps,
+    top_rated_by_category,
     view,
     view_of_frame,
 )
@@ -24,6 +27,7 @@ from storelens.plans.marts import (
     dim_categories,
     fact_app_metrics,
     fact_app_metrics_keyed,
+    review_counts,
     review_metrics,
 )
 from storelens.plans.pipeline import run_pipeline
@@ -39,10 +43,10 @@ __all__ = [
     "DashboardInputs", "FrameView", "app_view", "category_list", "clean_apps",
     "clean_reviews", "dashboard_frame", "dashboard_panels", "dim_apps", "dim_categories",
     "example_filtered", "example_union", "fact_app_metrics",
-    "fact_app_metrics_keyed", "for_category", "frame_view", "kpis",
-    "rating_vs_installs", "rating_vs_installs_sample", "review_metrics",
-    "run_pipeline", "sentiment_distribution", "sentiment_histogram",
+    "fact_app_metrics_keyed", "for_category", "frame_view", "kpis", "kpis_by_category",
+    "rating_vs_installs", "rating_vs_installs_sample", "review_counts", "review_metrics",
+    "run_pipeline", "sentiment_by_category", "sentiment_distribution", "sentiment_histogram",
     "stg_apps", "stg_reviews", "top_apps_by_reviews",
-    "top_categories_by_reviews", "top_rated", "top_rated_apps", "view",
+    "top_categories_by_reviews", "top_rated", "top_rated_apps", "top_rated_by_category", "view",
     "view_of_frame",
 ]

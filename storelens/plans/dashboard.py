@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.functions import bytes_to_mb_sql, compact_number_sql, lit, thousands_sql
@@ -33,12 +33,14 @@ from storelens.operators import (
     exact_sample,
     expand_rows,
     rounded_mean,
+    share_of_total,
     top_k,
     weighted_mean,
     weighted_sum,
-    with_share,
 )
 from storelens.functions.sql import project, select_sql
+from storelens.plans.marts import review_counts
+from storelens.sources.csv import POSITION
 
 UNKNOWN_CATEGORY = "Unknown"
 
@@ -54,7 +56,8 @@ class DashboardInputs:
     fact: DataFrame            # fact_app_metrics_keyed
     dim_apps: DataFrame
     dim_categories: DataFrame
-    reviews: DataFrame         # stg_reviews
+    reviews: DataFrame | None  # stg_reviews
+    counts: DataFrame | None = None  # review_counts, where it is at hand
 
 
 @dataclass(frozen=True)
@@ -79,7 +82,10 @@ def _categories(inp: DashboardInputs) -> DataFrame:
 
 
 def _sentiment_counts(inp: DashboardInputs) -> DataFrame:
-    return inp.reviews.groupBy("app_name", "review_sentiment").agg(F.expr("count(1)").alias("_n_rev"))
+    """The counts that the fact's review metrics derive from: their shuffle is
+    shared, the reviews are scanned once."""
+    counts = review_counts(inp.reviews) if inp.counts is None else inp.counts
+    return counts.withColumnRenamed("n_reviews", "_n_rev")
 
 
 def dashboard_frame(inp: DashboardInputs, partitions: int | None = None) -> DataFrame:
@@ -108,14 +114,15 @@ def frame_view(inp: DashboardInputs) -> FrameView:
     s = _sentiment_counts(inp)
     # per-name totals from the per-sentiment counts: one pass over the reviews
     r = s.groupBy("app_name").agg(F.expr("sum(_n_rev)").alias("_n_any"))
+    place = [POSITION] if POSITION in inp.fact.columns else []
     f = inp.fact.transform(project, "app_id", "category_id", "app_price AS price",
-                           "average_user_rating", "total_installs")
+                           "average_user_rating", "total_installs", *place)
     base = (f.join(d, "app_id").join(_categories(inp), "category_id")
             .transform(project, "app_name", "category_name", "price", "average_user_rating",
-                       "total_installs", "_n_dim * _n_cat AS _w_app"))
+                       "total_installs", "_n_dim * _n_cat AS _w_app", *place))
     apps = (base.join(r, "app_name", "left")
             .transform(project, "app_name", "category_name", "price", "average_user_rating",
-                       "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight"))
+                       "total_installs", "_w_app * coalesce(_n_any, 1L) AS weight", *place))
     per_name = base.groupBy("app_name", "category_name").agg(F.expr("sum(_w_app)").alias("_m"))
     sentiments = (per_name.join(s, "app_name")
                   .transform(project, "app_name", "category_name", "review_sentiment",
@@ -126,9 +133,10 @@ def frame_view(inp: DashboardInputs) -> FrameView:
 def app_view(inp: DashboardInputs) -> FrameView:
     """App-weighted view: every keyed fact row counts once (with its category
     name), and each of its app's reviews counts once."""
+    place = [POSITION] if POSITION in inp.fact.columns else []
     f = (inp.fact.join(_categories(inp), "category_id")
          .transform(project, "app_name", "category_name", "app_price AS price",
-                    "average_user_rating", "total_installs", "_n_cat AS weight"))
+                    "average_user_rating", "total_installs", "_n_cat AS weight", *place))
     per_name = f.groupBy("app_name", "category_name").agg(F.expr("sum(weight)").alias("_m"))
     sentiments = (per_name.join(_sentiment_counts(inp), "app_name")
                   .transform(project, "app_name", "category_name", "review_sentiment",
@@ -170,13 +178,18 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
     """One row: total_apps (distinct names), avg_rating (mean rounded half-up
     to 2 decimals, computed exactly; 0.0 when there is none), total_installs
     (DECIMAL(38, 0)), installs_display (compact) and total_apps_display (thousands separators)."""
-    a = for_category(v.apps, category)
-    out = a.agg(
-        F.expr("count(DISTINCT app_name)").alias("total_apps"),
-        rounded_mean("average_user_rating", "weight", 2).alias("_mean"),
-        weighted_sum("total_installs", "weight").alias("_installs"),
-    )
+    return _kpi_columns(for_category(v.apps, category).agg(*_kpi_aggregates()))
+
+
+def _kpi_aggregates() -> list:
+    return [F.expr("count(DISTINCT app_name)").alias("total_apps"),
+            rounded_mean("average_user_rating", "weight", 2).alias("_mean"),
+            weighted_sum("total_installs", "weight").alias("_installs")]
+
+
+def _kpi_columns(out: DataFrame, *keys: str) -> DataFrame:
     return select_sql(out, [
+        *keys,
         "total_apps",
         "coalesce(_mean, CAST(0.0 AS DOUBLE)) AS avg_rating",
         "_installs AS total_installs",
@@ -185,6 +198,43 @@ def kpis(v: FrameView, category: str | None = None) -> DataFrame:
     ])
 
 
+def _selections(df: DataFrame) -> DataFrame:
+    """Category names as the drop-down shows them."""
+    return df.withColumn("category_name", F.expr(f"coalesce(category_name, {lit(UNKNOWN_CATEGORY)})"))
+
+
+def kpis_by_category(v: FrameView) -> DataFrame:
+    """``kpis`` of every selection of the drop-down in one aggregation: one row
+    per category, and one with a NULL category for all of them together."""
+    out = _selections(v.apps).groupingSets([["category_name"], []], "category_name").agg(
+        *_kpi_aggregates())
+    return _kpi_columns(out, "category_name")
+
+
+def top_rated_by_category(v: FrameView, n: int = 10, digits: int | None = None) -> DataFrame:
+    """``top_rated_apps`` of every selection in one run: category_name (NULL:
+    all), rank from 1, app_name, average_user_rating.  Every task keeps the
+    ``n`` best of a category before the rows are dealt by category."""
+    per_app = (_selections(v.apps)
+               .groupingSets([["category_name", "app_name"], ["app_name"]], "category_name", "app_name")
+               .agg(_mean("average_user_rating", digits)))
+    order = Window.partitionBy("category_name").orderBy(
+        F.col("average_user_rating").desc_nulls_last(), F.col("app_name").asc_nulls_last())
+    return (per_app.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+            .select("category_name", "rank", "app_name", "average_user_rating"))
+
+
+def sentiment_by_category(v: FrameView) -> DataFrame:
+    """``sentiment_distribution`` of every selection in one aggregation:
+    category_name (NULL: all), review_sentiment, n, share."""
+    counts = (_selections(v.sentiments).where("review_sentiment IS NOT NULL")
+              .groupingSets([["category_name", "review_sentiment"], ["review_sentiment"]],
+                            "category_name", "review_sentiment")
+              .agg(F.expr("CAST(sum(weight) AS BIGINT)").alias("n")))
+    total = F.sum("n").over(Window.partitionBy("category_name"))  # a row per label
+    return counts.withColumn("share", F.try_divide(F.col("n"), total))
+
+
 def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
                    digits: int | None = None) -> DataFrame:
     """Mean rating per app name, the ``n`` best (NULL means last, ties by
@@ -196,15 +246,22 @@ def top_rated_apps(v: FrameView, category: str | None = None, n: int = 10,
 
 
 def rating_vs_installs(v: FrameView, category: str | None = None,
-                       digits: int | None = None) -> DataFrame:
+                       digits: int | None = None, price: str = "min") -> DataFrame:
     """Per app name: mean rating (rounded exactly when ``digits`` is given),
-    summed installs, a price (the smallest; any row's price is acceptable)
-    and its plotting value."""
+    summed installs, a price and its plotting value.  The price is the smallest
+    one, or with ``price="first"`` that of the app's first listing in the
+    source files which has one (the listings were read with their position)."""
     a = for_category(v.apps, category)
+    if price not in ("min", "first"):
+        raise ValueError(f"price must be 'min' or 'first', not {price!r}")
+    if price == "first" and POSITION not in a.columns:
+        raise ValueError("the app listings have no source position")
+    pick = ("min(price)" if price == "min"
+            else f"min_by(price, {POSITION}) FILTER (WHERE price IS NOT NULL)")
     return (a.groupBy("app_name")
             .agg(_mean("average_user_rating", digits),
                  weighted_sum("total_installs", "weight").alias("total_installs"),
-                 F.expr("min(price)").alias("price"))
+                 F.expr(pick).alias("price"))
             .transform(project, "app_name", "average_user_rating",
                        "total_installs", "price",
                        "coalesce(CAST(price AS DOUBLE), CAST(0.0 AS DOUBLE)) AS price_numeric_viz"))
@@ -220,9 +277,7 @@ def rating_vs_installs_sample(v: FrameView, category: str | None = None,
 def sentiment_distribution(v: FrameView, category: str | None = None) -> DataFrame:
     """Frame rows per non-NULL sentiment label (case kept) and their share,
     largest first."""
-    s = for_category(v.sentiments, category).where("review_sentiment IS NOT NULL")
-    counts = s.groupBy("review_sentiment").agg(F.expr("CAST(sum(weight) AS BIGINT)").alias("n"))
-    return (with_share(counts, "n", "share")
+    return (share_of_total(for_category(v.sentiments, category), "review_sentiment", "weight")
             .orderBy(F.col("n").desc(), F.col("review_sentiment").asc()))
 
 

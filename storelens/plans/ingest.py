@@ -23,6 +23,7 @@ from storelens.functions import (
     to_number_sql,
 )
 from storelens.functions.sql import select_sql
+from storelens.sources.csv import POSITION
 from storelens.sources.schemas import APPS_COLUMNS, APPS_FILL, NA_TOKENS, REVIEWS_FILL
 
 
@@ -41,7 +42,8 @@ def clean_apps(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS,
       not all digits are dropped, the rest become bigint;
     * Rating: plain number or NULL, then 0.0 when ``unrated_as_zero``;
     * text fields get their fill values (``APPS_FILL``), the rest '';
-    * Price: '$' removed, number, anything else 0.0.
+    * Price: '$' removed, number, anything else 0.0;
+    * a source position (``sources.csv.POSITION``) is carried along.
     """
     na = _na_exprs(raw, APPS_COLUMNS, na_tokens)
     installs = installs_text_sql(na["Installs"])
@@ -59,7 +61,8 @@ def clean_apps(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS,
         "Installs": installs_to_long_sql(installs),
         "Price": price_to_number_sql(filled("Price")),
     })
-    return select_sql(raw, [f"{e} AS {ident(c)}" for c, e in out.items()], keep)
+    place = [POSITION] if POSITION in raw.columns else []
+    return select_sql(raw, [f"{e} AS {ident(c)}" for c, e in out.items()] + place, keep)
 
 
 def clean_reviews(raw: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:

@@ -19,14 +19,15 @@ from storelens.plans.marts import (
     dim_categories,
     fact_app_metrics,
     fact_app_metrics_keyed,
+    review_counts,
 )
 from storelens.plans.staging import stg_apps, stg_reviews
 from storelens.sinks import land_table, materialize
 from storelens.sources.schemas import APPS_CLEAN
 
 MODEL_ORDER = (
-    "apps_landed", "reviews_landed", "stg_apps", "stg_reviews", "dim_apps",
-    "dim_categories", "fact_app_metrics", "fact_app_metrics_keyed",
+    "apps_landed", "reviews_landed", "stg_apps", "stg_reviews", "review_counts",
+    "dim_apps", "dim_categories", "fact_app_metrics", "fact_app_metrics_keyed",
 )
 
 
@@ -39,7 +40,10 @@ def run_pipeline(raw_apps: DataFrame, raw_reviews: DataFrame, out_dir: str,
     submitted as concurrent Spark jobs (up to ``max_parallel``), like the
     parallel ingest branches of the original DAG; layers run in order.
     ``report``, when given, receives the landed row counts, observed during
-    the landing writes (no extra pass).  ``digits`` rounds the keyed fact's
+    the landing writes (no extra pass).  Every model is refreshed safely
+    (``sinks.versions``): a run that dies leaves each table as it was or new.
+    The staged reviews are read once, for ``review_counts``; both facts derive
+    from that model.  ``digits`` rounds the keyed fact's
     mean rating exactly (``fact_app_metrics_keyed``)."""
     out = out_dir.rstrip("/")
     t: dict[str, DataFrame] = {}
@@ -53,24 +57,27 @@ def run_pipeline(raw_apps: DataFrame, raw_reviews: DataFrame, out_dir: str,
                 t[name] = fut.result()
 
     def model(name: str, df: DataFrame) -> Callable[[], DataFrame]:
-        return lambda: materialize(df, name, "table", path=f"{out}/{name}", fmt=fmt)
+        return lambda: materialize(df, name, "table", path=f"{out}/{name}", fmt=fmt, versioned=True)
 
     layer({
         "apps_landed": lambda: land_table(clean_apps(raw_apps), f"{out}/apps_landed",
-                                          schema=APPS_CLEAN, fmt=fmt,
+                                          schema=APPS_CLEAN, fmt=fmt, versioned=True,
                                           observation=obs["apps_landed"]),
         "reviews_landed": lambda: land_table(clean_reviews(raw_reviews), f"{out}/reviews_landed",
-                                             fmt=fmt, observation=obs["reviews_landed"]),
+                                             fmt=fmt, versioned=True,
+                                             observation=obs["reviews_landed"]),
     })
     if report is not None:
         report.update({k: int(o.get["rows"]) for k, o in obs.items()})
     layer({"stg_apps": model("stg_apps", stg_apps(t["apps_landed"])),
            "stg_reviews": model("stg_reviews", stg_reviews(t["reviews_landed"]))})
-    sa, sr = t["stg_apps"], t["stg_reviews"]
-    layer({"dim_apps": model("dim_apps", dim_apps(sa)),
-           "dim_categories": model("dim_categories", dim_categories(sa)),
-           "fact_app_metrics_keyed": model("fact_app_metrics_keyed",
-                                            fact_app_metrics_keyed(sa, sr, digits))})
-    layer({"fact_app_metrics": model("fact_app_metrics",
-                                     fact_app_metrics(t["dim_apps"], t["dim_categories"], sr))})
+    sa = t["stg_apps"]
+    layer({"review_counts": model("review_counts", review_counts(t["stg_reviews"])),
+           "dim_apps": model("dim_apps", dim_apps(sa)),
+           "dim_categories": model("dim_categories", dim_categories(sa))})
+    counts = t["review_counts"]
+    layer({"fact_app_metrics_keyed": model("fact_app_metrics_keyed",
+                                           fact_app_metrics_keyed(sa, None, digits, counts)),
+           "fact_app_metrics": model("fact_app_metrics", fact_app_metrics(
+               t["dim_apps"], t["dim_categories"], None, counts))})
     return {name: t[name] for name in MODEL_ORDER}

@@ -14,6 +14,7 @@ from storelens.functions import (
     to_number_sql,
 )
 from storelens.functions.sql import select_sql
+from storelens.sources.csv import POSITION
 
 
 def _double(df: DataFrame, name: str) -> str:
@@ -34,6 +35,7 @@ def stg_apps(clean: DataFrame) -> DataFrame:
     """Landed apps -> staging: sizes in bytes, ISO dates, row key
     md5(App‖Last_Updated‖Current_Ver) over the raw texts."""
     installs = _bigint(clean, "Installs")
+    place = [POSITION] if POSITION in clean.columns else []
     return select_sql(clean, [
                 "`App` AS app_name",
                 "`Category` AS app_category",
@@ -49,6 +51,7 @@ def stg_apps(clean: DataFrame) -> DataFrame:
                 "`Current_Ver` AS current_version",
                 "`Android_Ver` AS android_version",
                 f"{md5_key_sql('`App`', '`Last_Updated`', '`Current_Ver`')} AS source_unique_key",
+                *place,
             ], where=f"`App` IS NOT NULL AND {installs} IS NOT NULL")
 
 

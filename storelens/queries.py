@@ -10,23 +10,28 @@ same whatever the summation order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storelens import plans
 from storelens.functions.sql import select_sql
-from storelens.operators import ensure_columns, not_null_violations, unique_violations
-from storelens.session import scratch_path
-from storelens.sinks import export_csv
+from storelens.operators import ensure_columns, not_null_violations, suite, unique_violations
+from storelens.session import remove_at_exit, scratch_path
+from storelens.sinks import export_csv, land_table, materialize, read_current
 from storelens.sources import (
     raw_apps_from_part,
     raw_reviews_from_lineitem,
+    read_apps_csv,
+    read_model,
+    read_reviews_csv,
     read_seed_csv,
     read_table,
+    require_tables,
 )
-from storelens.sources.schemas import REVIEWS_COLUMNS
+from storelens.sources.schemas import APPS_CLEAN, APPS_COLUMNS, APPS_CSV_HEADER, REVIEWS_COLUMNS
 
 DIGITS = 6
 FILTER_CATEGORY = "PROMO"
@@ -103,9 +108,84 @@ def _csv_roundtrip(m: Models) -> DataFrame:
     """Landed reviews exported as CSV (NULL token), read back as text, staged."""
     path = scratch_path(m.spark, "csv-roundtrip")
     export_csv(m.clean_reviews, path)
+    remove_at_exit(m.spark, path)
     return plans.stg_reviews(read_seed_csv(m.spark, path, REVIEWS_COLUMNS))
 
 
+def _csv_roundtrip_apps(m: Models) -> DataFrame:
+    """Landed apps exported as CSV, read back as text, staged from the text."""
+    path = scratch_path(m.spark, "csv-roundtrip-apps")
+    export_csv(m.clean_apps, path)
+    remove_at_exit(m.spark, path)
+    return plans.stg_apps(read_seed_csv(m.spark, path, APPS_COLUMNS))
+
+
+def _two_headers(m: Models, raw: DataFrame, header: Sequence[str], name: str) -> str:
+    """Raw rows as a user's CSV folder: two sets of files, the columns of the
+    second in reverse order, blanks around its names."""
+    path = scratch_path(m.spark, name)
+    half = raw.toDF(*header).withColumn("_half", F.expr("pmod(xxhash64(App), 2)"))
+    for part, names, blank in ((0, list(header), ""), (1, list(header)[::-1], " ")):
+        (half.where(f"_half = {part}").select(*[F.col(f"`{c}`").alias(f"{blank}{c}{blank}") for c in names])
+         .write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+                        ignoreTrailingWhiteSpace=False).mode("append").csv(path))
+    remove_at_exit(m.spark, path)
+    return path
+
+
+def _raw_csv_apps(m: Models) -> DataFrame:
+    """App listings from a folder of CSV files of different column order."""
+    return read_apps_csv(m.spark, _two_headers(m, raw_apps_from_part(m.part), APPS_CSV_HEADER, "raw-apps"))
+
+
+def _raw_csv_reviews(m: Models) -> DataFrame:
+    """Reviews from such a folder, with a line break in every text."""
+    lineitem = read_table(m.spark, m.sf_dir, "lineitem")
+    raw = raw_reviews_from_lineitem(lineitem, m.part).withColumn(
+        "Translated_Review", F.translate("Translated_Review", "-", "\n"))
+    return read_reviews_csv(m.spark, _two_headers(m, raw, REVIEWS_COLUMNS, "raw-reviews"), multiline=True)
+
+
+def _landing_refresh(m: Models) -> DataFrame:
+    """Landed apps, refreshed over an empty earlier version."""
+    path = scratch_path(m.spark, "landing")
+    land_table(m.clean_apps.limit(0), path, schema=APPS_CLEAN, versioned=True)
+    remove_at_exit(m.spark, path)
+    land_table(m.clean_apps, path, schema=APPS_CLEAN, versioned=True)
+    return read_current(m.spark, path)
+
+
+WAREHOUSE_TABLES = ("dim_apps", "dim_categories", "fact_app_metrics", "fact_view")
+
+
+def _warehouse_fact(m: Models) -> DataFrame:
+    """Models as tables and a view of a database on shared storage; the
+    required set is checked and the fact read back by name."""
+    path = scratch_path(m.spark, "warehouse")
+    db = "storelens_" + path[-12:]
+    m.spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
+    dims = [materialize(df, f"{db}.{n}") for n, df in (("dim_apps", m.dim_apps),
+                                                       ("dim_categories", m.dim_categories))]
+    materialize(plans.fact_app_metrics(*dims, m.stg_reviews), f"{db}.fact_app_metrics")
+    remove_at_exit(m.spark, path)
+    m.spark.sql(f"CREATE OR REPLACE VIEW {db}.fact_view AS SELECT * FROM {db}.fact_app_metrics")
+    require_tables(m.spark, WAREHOUSE_TABLES, db)
+    return read_model(m.spark, f"{db}.fact_view")
+
+
+def _first_price(m: Models) -> DataFrame:
+    """Rating against installs with every app's first price in file order."""
+    apps = plans.stg_apps(plans.clean_apps(raw_apps_from_part(m.part, position=True)))
+    inputs = plans.DashboardInputs(plans.fact_app_metrics_keyed(apps, m.stg_reviews, DIGITS), m.dim_apps,
+                                   m.dim_categories, m.stg_reviews)
+    return _long_installs(plans.rating_vs_installs(plans.view(inputs), None, DIGITS, price="first"))
+
+
+def _dq_suite(m: Models) -> DataFrame:
+    return suite(m.stg_apps, unique=("source_unique_key", "app_name"),
+                 not_null=("app_name", "app_size_bytes", "last_updated_date"))
+
+
 def _pipeline_keyed(m: Models) -> DataFrame:
     """Full pipeline run with every model written to the shared folder; the
     keyed fact read back from its table."""
@@ -113,6 +193,7 @@ def _pipeline_keyed(m: Models) -> DataFrame:
     lineitem = read_table(m.spark, m.sf_dir, "lineitem")
     t = plans.run_pipeline(raw_apps_from_part(m.part), raw_reviews_from_lineitem(lineitem, m.part),
                            out, digits=DIGITS)
+    remove_at_exit(m.spark, out)
     return _r(t["fact_app_metrics_keyed"], "avg_sentiment")
 
 
@@ -162,4 +243,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         .select(*REQUIRED_FRAME_COLUMNS)),
     "csv_roundtrip": _q(_csv_roundtrip),
     "pipeline_fact_keyed": _q(_pipeline_keyed),
+    "raw_csv_apps": _q(_raw_csv_apps),
+    "raw_csv_reviews": _q(_raw_csv_reviews),
+    "csv_roundtrip_apps": _q(_csv_roundtrip_apps),
+    "landing_refresh": _q(_landing_refresh),
+    "warehouse_fact": _q(lambda m: _r(_warehouse_fact(m), "avg_sentiment")),
+    "kpis_by_category": _q(lambda m: _long_installs(plans.kpis_by_category(m.view("row")))),
+    "top_rated_by_category": _q(lambda m: plans.top_rated_by_category(m.view("row"), 10, DIGITS)),
+    "sentiment_by_category": _q(lambda m: _r(plans.sentiment_by_category(m.view("row")), "share")),
+    "sentiment_distribution_app": _q(lambda m: _r(plans.sentiment_distribution(m.view("app")), "share")),
+    "top_rated_apps_app": _q(lambda m: plans.top_rated_apps(m.view("app"), None, 10, DIGITS)),
+    "rating_vs_installs_app": _q(
+        lambda m: _long_installs(plans.rating_vs_installs(m.view("app"), None, DIGITS))),
+    "rating_vs_installs_first_price": _q(_first_price),
+    "dq_suite": _q(_dq_suite),
 }

@@ -85,6 +85,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return f"{checkpoint_root(spark)}/storelens/{name}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Has a scratch folder, which a returned DataFrame still reads, removed
+    when the driver's JVM ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Removes a scratch folder through the cluster's file system API."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

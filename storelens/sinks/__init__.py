@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelens.sinks.versions import current_path, read_current, refresh
 from storelens.sources.schemas import CSV_NULL_TOKEN
 
 
@@ -24,7 +25,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
                fmt: str = "parquet", observation: Observation | None = None,
-               options: dict[str, str] | None = None) -> DataFrame:
+               options: dict[str, str] | None = None, versioned: bool = False) -> DataFrame:
     """Full-refresh landing: the target is replaced by exactly ``df``'s rows
     (an empty frame leaves an empty table, never the old rows).  ``target``
     is a path or a catalog table name.  Returns a fresh read of the target,
@@ -33,6 +34,10 @@ def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
     With an ``observation``, the written row count is collected during the
     write itself (``observation.get["rows"]``) — no second pass over the data.
 
+    With ``versioned`` a path target is replaced safely (``sinks.versions``): a
+    write that fails leaves the old table as it was, and readers resolve it by
+    ``read_current``.
+
     ``fmt``/``options`` select any Spark data source, e.g. ``fmt="jdbc"`` with
     ``{"url": ..., "dbtable": ...}`` to land in a relational store (then
     ``target`` is only a label and the same options read the table back).
@@ -47,6 +52,10 @@ def land_table(df: DataFrame, target: str, schema: T.StructType | None = None,
         w.save()
         return spark.read.format(fmt).options(**options).load()
     if _is_path(target):
+        if versioned:
+            if options:
+                raise ValueError("a versioned table takes no writer options")
+            return spark.read.format(fmt).schema(df.schema).load(refresh(df, target, fmt))
         w.save(target)
         # the written schema is known: no inference pass over the new files
         return spark.read.format(fmt).schema(df.schema).load(target)
@@ -84,16 +93,16 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False,
 
 
 def materialize(df: DataFrame, name: str, materialized: str = "table",
-                path: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Materialise a model: ``"table"`` writes it (to ``path`` when given,
-    else as catalog table ``name``) and returns a read of the result;
+                path: str | None = None, fmt: str = "parquet", versioned: bool = False) -> DataFrame:
+    """Materialise a model: ``"table"`` writes it (to ``path`` when given, there
+    as a safe refresh if ``versioned``, else as catalog table ``name``) and returns a read of the result;
     ``"view"`` registers a temporary view over the plan."""
     if materialized == "view":
         df.createOrReplaceTempView(name)
         return df.sparkSession.table(name)
     if materialized != "table":
         raise ValueError(f"materialized must be 'table' or 'view', not {materialized!r}")
-    return land_table(df, path or name, fmt=fmt)
+    return land_table(df, path or name, fmt=fmt, versioned=versioned)
 
 
-__all__ = ["conform", "export_csv", "land_table", "materialize"]
+__all__ = ["conform", "current_path", "export_csv", "land_table", "materialize", "read_current", "refresh"]

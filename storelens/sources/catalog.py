@@ -18,6 +18,14 @@ def missing_tables(spark: SparkSession, required: Iterable[str],
     return set(required) - list_tables(spark, database)
 
 
+def require_tables(spark: SparkSession, required: Iterable[str],
+                   database: str | None = None) -> None:
+    """Raises with the missing names unless all required tables are there."""
+    missing = missing_tables(spark, required, database)
+    if missing:
+        raise LookupError(f"tables missing from the warehouse: {sorted(missing)}")
+
+
 def read_model(spark: SparkSession, name: str) -> DataFrame:
     """A materialised model (table or view) by name."""
     return spark.table(name)

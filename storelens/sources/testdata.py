@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from storelens.functions.sql import select_sql
+from storelens.sources.csv import POSITION
 
 # Fixed mapping (FIXTURES.md §4), one SQL expression per raw column.
 APPS_FROM_PART = (
@@ -74,8 +75,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def raw_apps_from_part(part: DataFrame) -> DataFrame:
-    return select_sql(part, APPS_FROM_PART)
+def raw_apps_from_part(part: DataFrame, position: bool = False) -> DataFrame:
+    """``position`` (``part`` read from Parquet) appends where a row stands."""
+    if position:
+        part = part.selectExpr("*", "struct(_metadata.file_path AS file, 0L AS block,"
+                               f" _metadata.row_index AS record) AS {POSITION}")
+    return select_sql(part, [*APPS_FROM_PART, *([POSITION] if position else [])])
 
 
 def raw_reviews_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:

@@ -22,10 +22,17 @@ def stream_landing(spark: SparkSession, source_dir: str, kind: str, target_dir:
     (``kind`` = 'apps' or 'reviews') and appends the rows to Parquet files
     in ``target_dir``.  ``available_now`` processes the backlog in bounded
     batches and stops; otherwise the query keeps polling.  Both folders and
-    the checkpoint must be on shared storage."""
+    the checkpoint must be on shared storage.  Every file's header has to hold
+    the raw column names in their order: a stream can't unite files by name as
+    the batch reader does, and fails on another header."""
     schema, rename, clean = _KINDS[kind]
     reader = (spark.readStream.schema(schema)
-              .option("header", True).option("quote", '"').option("escape", '"'))
+              .option("header", True).option("quote", '"').option("escape", '"')
+              # a file whose header differs from the schema fails instead of
+              # being read by position; the text stays as written
+              .option("enforceSchema", False)
+              .option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = normalize_header(reader.csv(source_dir), rename)

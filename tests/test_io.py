@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import Observation
 
 from storelens import plans
@@ -13,7 +14,7 @@ from storelens.sources import (
     read_reviews_csv,
     read_seed_csv,
 )
-from storelens.sources.schemas import APPS_CLEAN, REVIEWS_COLUMNS
+from storelens.sources.schemas import APPS_CLEAN, APPS_CSV_HEADER, REVIEWS_COLUMNS
 from storelens.streaming import stream_landing
 from tests.fixtures import APPS, REVIEWS, Golden, raw_apps, raw_reviews
 
@@ -29,9 +30,9 @@ def _csv_field(v):
     return v
 
 
-def write_apps_csv(path):
+def write_apps_csv(path, header=APPS_HEADER):
     with open(path, "w", encoding="utf-8") as f:
-        f.write(APPS_HEADER + "\n")
+        f.write(header + "\n")
         for row in APPS:
             f.write(",".join(_csv_field(v) for v in row) + "\n")
 
@@ -110,18 +111,29 @@ def test_pipeline_writes_every_model(spark, tmp_dir):
 def test_streaming_landing_matches_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "drops")
     os.makedirs(src)
-    write_apps_csv(os.path.join(src, "part-1.csv"))
+    header = ",".join(APPS_CSV_HEADER)  # a stream checks the header as it is
+    write_apps_csv(os.path.join(src, "part-1.csv"), header)
     out, ckpt = os.path.join(tmp_dir, "landed"), os.path.join(tmp_dir, "ckpt")
     q = stream_landing(spark, src, "apps", out, ckpt)
     q.awaitTermination(120)
     got = spark.read.parquet(out)
     assert got.count() == 6
     # a second drop is picked up incrementally; the first is not re-read
-    write_apps_csv(os.path.join(src, "part-2.csv"))
+    write_apps_csv(os.path.join(src, "part-2.csv"), header)
     stream_landing(spark, src, "apps", out, ckpt).awaitTermination(120)
     assert spark.read.parquet(out).count() == 12
 
 
+def test_streaming_rejects_another_header(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "drops")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write(",".join(REVIEWS_COLUMNS[::-1]) + "\n0.5,0.5,Positive,txt2,A2\n")
+    out = os.path.join(tmp_dir, "landed")
+    with pytest.raises(Exception, match="(?i)header"):
+        stream_landing(spark, src, "reviews", out, os.path.join(tmp_dir, "c")).awaitTermination(120)
+
+
 def test_multiline_quoted_fields(spark, tmp_dir):
     path = os.path.join(tmp_dir, "reviews_ml.csv")
     with open(path, "w", encoding="utf-8") as f:
