@@ -36,7 +36,7 @@ from storelens.llm.common import map_arrow, text_slices
 from storelens.llm.wordtext import ChunkCoder, WordBpe, load, tokenizer_file
 
 _NEVER = 1 << 60
-STEPS = 500_000  # remembered arc tests
+STEPS = 200_000  # remembered arc tests
 
 
 class Automaton:
@@ -59,9 +59,7 @@ class Automaton:
         self.final = {s[:-len(suffix)]: t for s, t in vocab.items()
                       if s.endswith(suffix) and self.live[t]}
         self.starts = {s[:i] for d in (self.inner, self.final) for s in d for i in range(1, len(s) + 1)}
-        self.labels: list[str | None] = [None] * size
-        for s, t in [*vocab.items(), *model.special.items()]:
-            self.labels[t] = s
+        self.labels = labels(model)
 
     def _gadget(self, k: int, u: int, v: int, w: int) -> None:
         if self.live[w] or not (self.live[u] and self.live[v] and self.arc(u, v)):
@@ -118,11 +116,23 @@ class Automaton:
         return out[::-1]
 
     def decode(self, ids: list[int]) -> str:
-        """The labels of the arcs; ids without a label emit nothing."""
-        labels = self.labels
-        return " ".join(x for i in ids if 0 <= i < len(labels) and (x := labels[i]) is not None)
+        return emitted(self.labels, ids)
 
 
+def labels(model: WordBpe) -> list[str | None]:
+    """Every arc's label, by id."""
+    out: list[str | None] = [None] * (max([*model.vocab.values(), *model.special.values()]) + 1)
+    for s, t in [*model.vocab.items(), *model.special.items()]:
+        out[t] = s
+    return out
+
+
+def emitted(of: list[str | None], ids: list[int]) -> str:
+    """The labels of the arcs; ids without a label emit nothing."""
+    return " ".join(x for i in ids if 0 <= i < len(of) and (x := of[i]) is not None)
+
+
+_labels: dict[str, list[str | None]] = {}
 _compiled: dict[str, tuple[Automaton, ChunkCoder]] = {}
 
 
@@ -135,24 +145,30 @@ def compiled(key: str, raw: str) -> tuple[Automaton, ChunkCoder]:
     return _compiled[key]
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, ids array<int>) for every row of ``df``."""
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded_col: str | None = None) -> DataFrame:
+    """Rows (id, ids array<int>) for every row of ``df``; with ``decoded_col``
+    also what the ids decode to, in the same pass."""
     raw, key = tokenizer_file(path)
     file = df.sparkSession.sparkContext.broadcast(raw)  # one vocabulary file
 
     def run(batches):
-        _, coder = compiled(key, file.value)
+        automaton, coder = compiled(key, file.value)
         for batch in batches:
             for part in text_slices(batch, "text", 2 << 20):
                 coded = [coder(t) for t in part.column(1).to_pylist()]
                 ends = np.cumsum([0, *(len(x) // 4 for x in coded)]).astype(np.int32)
                 flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=[id_col, "ids"])
+                out = [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                if decoded_col is not None:
+                    out.append(pa.array((automaton.decode(flat[i:j].tolist())
+                                         for i, j in zip(ends[:-1], ends[1:], strict=True)), pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=columns)
 
+    columns = [id_col, "ids", *([decoded_col] if decoded_col is not None else [])]
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_arrow(source, run, f"`{id_col}` long, ids array<int>")
+    return map_arrow(source, run, f"`{id_col}` long, ids array<int>"
+                     + (f", `{decoded_col}` string" if decoded_col is not None else ""))
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -163,7 +179,8 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
 
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
-        automaton, _ = compiled(key, file.value)
-        return pa.array((automaton.decode(x.as_py() or []) for x in ids), pa.string())
+        if key not in _labels:  # only the labels: no automaton is compiled here
+            _labels[key] = labels(load(file.value))
+        return pa.array((emitted(_labels[key], x.as_py() or []) for x in ids), pa.string())
 
     return df.withColumn(text_col, text(F.col(ids_col)))

@@ -138,9 +138,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         "embed-rows")
     classes, _ = written(
         rows.where("exact IS NOT NULL AND id IS NOT NULL").groupBy("size", "exact")
-        .agg(F.min("id").alias("id"), F.count("*").alias("copies"),
+        .agg(F.min("id").alias("least"), F.count("*").alias("copies"),
              F.first("scale").alias("scale"), F.first("err").alias("err"),
-             F.first("code").alias("code")), "embed-classes")
+             F.first("code").alias("code"))
+        # an id may repeat with other vectors: classes have numbers of their own
+        .withColumn("id", F.monotonically_increasing_id()), "embed-classes")
     total = classes.count()
     tiles = max(1, -(-total // TILE))
     grid = (classes.withColumn("mine", F.pmod(F.xxhash64("exact"), F.lit(tiles)))
@@ -153,11 +155,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         _tile_links(threshold), "a long, b long, links long"), "embed-links")
     comp, _ = connected_components(found.where("b IS NOT NULL").select("a", "b"))
     links = found.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
-    names, _ = written(
+    grouped, _ = written(
         classes.join(links, classes["id"] == links["a"], "left")
         .join(comp, F.col("id") == F.col("node"), "left")
         .select("size", "exact", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("component", "id").alias("component")), "embed-names")
+                "least", F.coalesce("component", "id").alias("group")), "embed-groups")
+    names, _ = written(grouped.join(grouped.groupBy("group").agg(F.min("least").alias("component")), "group")
+                       .select("size", "exact", "n_links", "component"), "embed-names")
     component = F.coalesce("component", "id")
     return rows.select("id", "size", "exact").join(names, ["size", "exact"], "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),

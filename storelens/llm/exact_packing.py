@@ -187,9 +187,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (any columns, with a long ``length`` from 1 to ``capacity``)
-    with sequence_id and offset.  Rows of null or other length are an error."""
-    columns = pieces.columns
-    kept, _ = written(pieces, "packing-pieces")
+    with sequence_id and offset; columns of these two names are replaced.  Rows
+    of null or other length are an error."""
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    columns = ["length" if c == "length" else f"c{i}" for i, c in enumerate(names)]
+    kept, _ = written(pieces.select(*[F.col(f"`{c}`") for c in names]).toDF(*columns), "packing-pieces")
     counts = {int(r["length"]): r["n"] for r in
               kept.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     if any(not 1 <= x <= capacity for x in counts):
@@ -221,5 +223,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*[batch.column(c) for c in columns], pa.array(s[at, 3] + rank - s[at, 1]),
                  pa.array(s[at, 4])], names=[*columns, "sequence_id", "offset"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return map_arrow(placed, place, f"{fields}, sequence_id long, offset long")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return map_arrow(placed, place, f"{fields}, sequence_id long, offset long").toDF(
+        *names, "sequence_id", "offset")

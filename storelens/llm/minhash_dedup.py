@@ -138,12 +138,20 @@ def _sign(batches):
 
 
 def _sets(batches):
+    """Of rows (class number, text, class key) those whose text has the key."""
+    import xxhash
+
     for batch in batches:
         for part in text_slices(batch, "text", 1 << 20):
-            sets = [s.view(np.int64) for s in shingle_sets(part.column(1))]
+            sets = shingle_sets(part.column(1))
+            mine = [i for i, (s, key) in enumerate(zip(sets, part.column(2).to_pylist(), strict=True))
+                    if xxhash.xxh128_digest(s.tobytes()) == key]
+            if not mine:
+                continue
+            sets = [sets[i].view(np.int64) for i in mine]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.diff(ends).astype(np.int64)),
+                [part.column(0).take(pa.array(mine)), pa.array(np.diff(ends).astype(np.int64)),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))],
                 names=["id", "n", "shingles"])
 
@@ -247,15 +255,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id long, n_shingles long, class_key binary, bands array<long>, sketch array<long>, "
         "slack int")), "minhash-signed")
 
-    # equal sets: one class, represented by its smallest id
+    # equal sets: one class, represented by its smallest id; that id may be
+    # another class's too (it repeats with other text), so a class has a number
     usable = signed.where("class_key IS NOT NULL AND id IS NOT NULL")
     rep, rep_path = written(usable.groupBy("class_key").agg(
-        F.min("id").alias("rep")), "minhash-classes")
+        F.min("id").alias("rep")).withColumn("class", F.monotonically_increasing_id()), "minhash-classes")
     # signatures are a function of the set: any member's row is the class's
-    classes = (usable.join(rep.select("class_key", F.col("rep").alias("id")), ["class_key", "id"],
-                           "left_semi").dropDuplicates(["class_key"]))
+    classes = (usable.join(rep.select("class_key", F.col("rep").alias("id"), "class"), ["class_key", "id"])
+               .dropDuplicates(["class_key"]))
     buckets, bucket_path = written(classes.select(
-        "id", "n_shingles", "sketch", "slack", F.explode("bands").alias("key")), "minhash-buckets")
+        F.col("class").alias("id"), "n_shingles", "sketch", "slack", F.explode("bands").alias("key")), "minhash-buckets")
 
     # star step
     centres, centre_path = written(
@@ -266,10 +275,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars, star_path = written(joined.select("a", "b").distinct(), "minhash-stars")
 
     # full sets, made again for the documents that have a candidate or may get one
-    shared = buckets.select("key", "id").join(centres.select("key"), "key", "left_semi") \
-        .select("id").distinct()
+    shared = buckets.select("key", F.col("id").alias("class")).join(
+        centres.select("key"), "key", "left_semi").select("class").distinct().join(rep, "class").select(
+        F.col("rep").alias("id"), "class", "class_key")
     sets, set_path = written(
-        map_arrow(base.join(shared, "id", "left_semi"), _sets, "id long, n long, shingles array<long>"), "minhash-sets")
+        map_arrow(base.join(shared, "id").select("class", "text", "class_key"), _sets,
+                  "id long, n long, shingles array<long>"), "minhash-sets")
     links, link_path = written(_confirm(stars, sets), "minhash-links")
     comp, comp_path = connected_components(links)
 
@@ -292,9 +303,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     discard(spark, bucket_path, centre_path, star_path, set_path, link_path, state_path, open_path,
             left_path, more_path, extra_path, comp_path)
 
-    names = rep.join(final, rep["rep"] == final["node"], "left").select(
-        "class_key", F.coalesce("component", "rep").alias("component"))
-    names, names_path = written(names, "minhash-names")
+    grouped, _ = written(rep.join(final, rep["class"] == final["node"], "left").select(
+        "class_key", "rep", F.coalesce("component", "class").alias("group")), "minhash-groups")
+    names, _ = written(grouped.join(grouped.groupBy("group").agg(F.min("rep").alias("component")), "group")
+                       .select("class_key", "component"), "minhash-names")
+    discard(spark, rep_path, final_path)
     out = signed.select("id", "n_shingles", "class_key").join(names, "class_key", "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),

@@ -65,7 +65,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if _DIGIT.search(text):
         if "." in text:
             for m in _IP.finditer(text):
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+                if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
                     out.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")

@@ -102,9 +102,9 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    coded = bpe_automaton.encode(documents(spark, sf_dir, "doc_id", "text"), path)
-    return bpe_automaton.decode(coded, path).select(
+    coded = bpe_automaton.encode(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path(),
+                                 decoded_col="decoded")
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -25,7 +25,7 @@ _WORDS = regex.compile(_SPLIT)
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^" + "\t\n\x0b\x0c\r " + r"a-z0-9]+")
 _GAPS = re.compile(f"[{_WHITE}]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split(), not to the tokenizer
-CACHE = 400_000
+CACHE = 150_000
 
 
 @dataclass(frozen=True)
