@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -101,9 +102,10 @@ class Aligner:
     def frame(self, side: int, ids: list[list[int]]) -> pd.DataFrame:
         """Tokens by place; both sides' documents have the same bytes, so
         places run on from document to document alike."""
-        flat = np.fromiter((i for x in ids for i in x), np.int64)
+        count = [len(x) for x in ids]
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(count))
         end = np.cumsum(self.sizes[side][flat])
-        doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+        doc = np.repeat(np.arange(len(ids)), count)
         return pd.DataFrame({"doc": doc, "start": end - self.sizes[side][flat], "end": end,
                              "token": np.arange(len(flat)), "id": flat})
 
@@ -141,7 +143,7 @@ class Aligner:
         ends_a, ends_b = a["end"].to_numpy(), b["end"].to_numpy()
         linked = ends_a[pa_] == ends_b[pb]
         la, lb = pa_[linked], pb[linked]
-        cuts = np.sort(ends_a[la])
+        cuts = np.sort(ends_a[la])  # no two links end at one place
         doc = a["doc"].to_numpy()
         each = np.bincount(doc[la], minlength=docs)
         # equal id pairs of a document are one entry with a count
@@ -153,11 +155,10 @@ class Aligner:
         out = {
             "n_a": pa.array(np.bincount(doc, minlength=docs)),
             "n_b": pa.array(np.bincount(b["doc"], minlength=docs)),
-            "n_groups": pa.array(np.bincount(doc[np.searchsorted(ends_a, np.unique(cuts))],
-                                             minlength=docs)),
+            "n_groups": pa.array(np.bincount(doc[np.searchsorted(ends_a, cuts)], minlength=docs)),
             "n_links": pa.array(each),
             "n_overlaps": pa.array(np.bincount(doc[pa_], minlength=docs)),
-            "groups": pa.array(self.group_text(a, b, np.unique(cuts), docs), pa.string()),
+            "groups": pa.array(self.group_text(a, b, cuts, docs), pa.string()),
             "pairs": pa.ListArray.from_arrays(starts, pa.array((code // nb << 32) | code % nb)),
             "times": pa.ListArray.from_arrays(starts, pa.array(times.astype(np.int32))),
         }
