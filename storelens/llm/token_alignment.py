@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from itertools import chain
 
 import numpy as np
@@ -37,8 +38,12 @@ from storelens.llm.wordtext import byte_letters
 SLICE = 1 << 20
 SHARE = 200_000
 
-# Fixed value: the splitter of byte-level files that ask for one.
+LONG_GAP = 10_000  # a run of white space that the splitter's look-ahead can't be given
+
+# The splitter of byte-level files that ask for one, and its white space.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_GAP = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+                  f"{{{LONG_GAP},}}")
 
 
 class ByteBpe:
@@ -58,12 +63,24 @@ class ByteBpe:
         for entry, i in model["vocab"].items():
             if entry not in special:
                 self.spelled[i] = bytes(letter[c] for c in entry)
-        self.coder = tiktoken.Encoding(
-            "ranks", pat_str=_SPLIT, special_tokens={},
-            mergeable_ranks={s: i for i, s in enumerate(self.spelled) if s})
+        ranks = {s: i for i, s in enumerate(self.spelled) if s}
+        self.coder, self.whole = (tiktoken.Encoding(
+            "ranks", pat_str=p, special_tokens={}, mergeable_ranks=ranks) for p in (_SPLIT, r"(?s:.+)"))
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
-        return [self.coder.encode_ordinary(" " + t) for t in texts]
+        return [self._code(" " + t) for t in texts]
+
+    def _code(self, text: str) -> list[int]:
+        """A long gap is one word of the splitter's, but for its last character
+        where a word follows."""
+        if len(text) < LONG_GAP:
+            return self.coder.encode_ordinary(text)
+        out, at = [], 0
+        for m in _GAP.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out += self.coder.encode_ordinary(text[at:m.start()]) + self.whole.encode_ordinary(text[m.start():end])
+            at = end
+        return out + self.coder.encode_ordinary(text[at:])
 
 
 class PieceBpe:

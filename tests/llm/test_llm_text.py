@@ -229,29 +229,32 @@ def spans_of(parts):
     return out
 
 
-def brute_alignment(rows, code):
+def brute_alignment(rows, code, most=20_000):
     """Per row: groups text, links as id pairs, overlaps as places."""
     out = []
     for text in rows:
         ids_a, ids_b, bytes_a, bytes_b = code(text)
         sa, sb = spans_of(bytes_a), spans_of(bytes_b)
         cuts = sorted({e for _, e in sa} & {e for _, e in sb})
-        groups, lo = [], 0
+        groups, x, y = [], 0, 0
         for c in cuts:
-            groups.append("|".join(",".join(str(i) for i, (_, e) in zip(ids, s) if lo < e <= c)
-                                   for ids, s in ((ids_a, sa), (ids_b, sb))))
-            lo = c
+            i = next(k + 1 for k in range(x, len(sa)) if sa[k][1] == c)
+            j = next(k + 1 for k in range(y, len(sb)) if sb[k][1] == c)
+            groups.append(",".join(map(str, ids_a[x:i])) + "|" + ",".join(map(str, ids_b[y:j])))
+            x, y = i, j
         by_end = {e: i for i, (_, e) in zip(ids_b, sb)}
         links = [(i, by_end[e]) for i, (_, e) in zip(ids_a, sa) if e in by_end]
         over = [(x, y) for x, (s, e) in enumerate(sa) for y, (t, f) in enumerate(sb) if s < f and t < e] \
-            if len(sa) * len(sb) < 250_000 else None
+            if len(sa) * len(sb) < most else None
         out.append((ids_a, ids_b, ";".join(groups), links, over))
     return out
 
 
 ODD = [None, "", " ", "\n", "a", "<|endoftext|> <s>x</s> <unk> <0x41>", "tab\t and   space  end ", "▁ mark",
        "日本語のテスト 🙂👨‍👩‍👧 é é", "don't I'LL we've 12345 ١٢٣ ½", "x" * 3000, "\u0000 zero \x1c\x1d\x85", "﻿bom",
-       "  two leading", "é" * 500, "trailing   line", " " * 5000 + "x"]
+       "  two leading", "é" * 500, "trailing   line", " " * 5000 + "x",
+       " " * 25_000 + "x", "a" + "\n \t" * 9000 + " b\n" + "\u3000" * 11_000 + "\x1c" + " " * 10_000 + "\n c",
+       "z" + " " * 12_000]
 
 
 def test_alignment_brute(spark, coders):
@@ -275,6 +278,12 @@ def test_alignment_brute(spark, coders):
     assert not token_alignment.align(empty(spark), *paths).count()
 
 
+def test_alignment_of_very_long_gaps():
+    one = token_alignment.Aligner(*(open(queries.tokenizer_path(f), "rb").read() for f in (A_FILE, B_FILE)))
+    made = one.slice([" " * 2_000_000 + "a", "\n" * 1_000_000], False)
+    assert min(made["n_a"].to_pylist()) > 0 and min(made["n_links"].to_pylist()) > 0
+
+
 def test_alignment_spaces(spark, coders):
     """Every code point below U+3100, alone, between letters and doubled."""
     texts = [f"a{c}b {c} {c}{c}c{c}" for c in map(chr, range(1, 0x3100))]
@@ -289,7 +298,7 @@ def test_alignment_query(spark, coders, share, monkeypatch):
     """Also where few pairs or none are broadcast."""
     monkeypatch.setattr(token_alignment, "SHARE", share)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
-    want = brute_alignment([d.text for d in docs], lambda t: coders(t))
+    want = brute_alignment([d.text for d in docs], coders, 0)
     count = Counter(p for w in want for p in w[3])
     top = defaultdict(int)
     for (_, b), n in count.items():
