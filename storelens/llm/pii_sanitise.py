@@ -1,8 +1,11 @@
 """Personal data: fixed patterns, then information-theoretic sanitisation.
 
 Base spans are e-mail addresses, IP addresses, payment cards and phone
-numbers.  Each base value is a protected entity e.  All words of the documents
-that mention it are candidate terms t; over the whole corpus the documents that
+numbers.  Each base value is a protected entity e, and so is the group it belongs
+to (the host of an address, the first two bytes of an IP address, the first six
+digits of a card, a phone number without its last four digits): a value is seldom
+in several documents, its group often is.  All words of the documents that mention
+an entity are candidate terms t; over the whole corpus the documents that
 mention e (n_e), hold t (n_t) and hold both (n_et) are counted.  What t discloses
 about e is their pointwise mutual information, log2(N n_et / (n_e n_t)), against
 the entity's own information log2(N / n_e) (Sanchez, Batet and Viejo, 2013).  A
@@ -79,10 +82,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _entities(text: str, spans) -> list[str]:
+    """The values the spans mention, each also with its last part left out: an
+    address's host, a network of 16 bits, a card's issuer, a line's exchange."""
     out = set()
     for start, kind, end in spans:
-        value = re.sub(r"[^0-9a-z.@]", "", text[start:end].lower()) if kind != 0 else text[start:end].lower()
-        out.add(f"{KINDS[kind]}:{value}")
+        value, name = text[start:end].lower(), KINDS[kind]
+        if kind == 0:
+            group = value[value.index("@"):]
+        elif kind == 1:
+            group = ".".join(value.split(".")[:2])
+        else:
+            value = "".join(_DIGIT.findall(value))
+            group = value[:6] if kind == 2 else value[:-4]
+        out |= {f"{name}:{value}", f"{name} group:{group}"}
     return sorted(out)
 
 
