@@ -7,6 +7,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,28 @@ from storelens.session import remove_path, scratch_path
 SLICE_BYTES = 4 << 20
 
 
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def scratch_noted() -> Iterator[list[str]]:
+    """The paths of all tables ``written`` inside the block, for a caller that
+    knows when the last of them has been read."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted.pop()
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet to the shared checkpoint folder and read
     again: cuts the lineage, survives lost executors, and is one committed
     version of the rows however often a task was tried."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _noted:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
