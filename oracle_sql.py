@@ -315,6 +315,10 @@ SELECT app_category, CAST(coalesce(sum(total_reviews), 0) AS BIGINT) AS total_re
 FROM fact WHERE app_category IS NOT NULL GROUP BY app_category
 ORDER BY total_reviews DESC NULLS LAST, app_category ASC NULLS LAST
 LIMIT 10""", "fact"),
+    "category_ratings": with_ctes(
+        "SELECT app_category, count(app_rating) AS listings,"
+        " round(fsum(app_rating) / count(app_rating), 6) AS average_rating"
+        " FROM stg_apps WHERE app_category IS NOT NULL GROUP BY app_category", "stg_apps"),
     "category_list": with_ctes(
         "SELECT DISTINCT category_name FROM frame WHERE category_name IS NOT NULL", "frame"),
     "dq_unique_app_id": with_ctes("""

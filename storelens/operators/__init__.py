@@ -2,6 +2,7 @@
 
 from storelens.operators.aggregates import (
     equal_width_histogram,
+    exact_mean,
     rounded_mean,
     share_of_total,
     value_counts,
@@ -22,7 +23,7 @@ from storelens.operators.rows import distinct_on, exact_sample, expand_rows, top
 
 __all__ = [
     "default_for", "distinct_on", "ensure_columns", "equal_width_histogram",
-    "exact_sample", "expand_rows", "has_columns", "is_empty",
+    "exact_mean", "exact_sample", "expand_rows", "has_columns", "is_empty",
     "not_null_violations", "rounded_mean", "share_of_total", "suite", "top_k", "unique_violations", "value_counts",
     "weighted_mean", "weighted_sum", "with_share",
 ]

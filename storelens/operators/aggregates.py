@@ -3,6 +3,9 @@ weighted means."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,3 +110,44 @@ def rounded_mean(value: str, weight: str, digits: int, scale: int = 6) -> Column
         f"CASE WHEN count_if({large}) > 0 THEN {plain} WHEN {count} > 0 THEN "
         f"CAST(CASE WHEN {total} < 0 THEN -{half_up} ELSE {half_up} END AS DOUBLE) "
         f"/ {10 ** digits}D END")
+
+
+def exact_mean(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None,
+               out: str = "mean") -> DataFrame:
+    """Rows (keys, n, ``out``): the mean of any doubles over ``weight`` copies of
+    each row, free of the order of summation: the double nearest to the exact
+    mean.  NULL and non-finite values are left out; a group of none (or of
+    weight 0) has n = 0 and a NULL mean.
+
+    A double is a whole number times a power of two.  Sums of the whole numbers
+    are exact decimals, one per group and power (2,100 at most, so a partial
+    aggregation combines a hot group in every task); a group's few sums are
+    put together in big integers at the end."""
+    v = ident(value)
+    finite = f"abs({v}) < CAST('Infinity' AS DOUBLE)"
+    # one bit more than a double has: log2 may be one off next to a power of two
+    power = f"greatest(coalesce(CAST(floor(log2(nullif(abs({v}), 0D))) AS INT) - 53, 0), -1074)"
+    # in two steps, as the whole scale may be no double; powers of two are exact
+    whole = ("CAST(_v * pow(2D, CAST(-_power div 2 AS DOUBLE))"
+             " * pow(2D, CAST(-_power - (-_power div 2) AS DOUBLE)) AS BIGINT)")
+    rows = df.selectExpr(*map(ident, keys), f"CASE WHEN {finite} THEN {v} END AS _v",
+                         f"CASE WHEN {finite} THEN {power} END AS _power",
+                         f"CAST({'1' if weight is None else ident(weight)} AS DECIMAL(19, 0)) AS _w")
+    sums = rows.groupBy(*keys, "_power").agg(
+        F.expr(f"sum(CAST({whole} AS DECIMAL(19, 0)) * _w)").alias("_sum"),
+        F.expr("sum(CASE WHEN _v IS NOT NULL THEN _w END)").alias("_w"))
+
+    @F.arrow_udf("double")
+    def put_together(parts: pa.Array, n: pa.Array) -> pa.Array:
+        from fractions import Fraction
+
+        means = []
+        for some, count in zip(parts.to_pylist(), n.to_pylist()):
+            total = sum(Fraction(int(x["_sum"])) * Fraction(2) ** x["_power"] for x in some)
+            means.append(float(total / int(count)) if count else None)
+        return pa.array(means, pa.float64())
+
+    parts = F.collect_list(F.when(F.col("_sum").isNotNull(), F.struct("_power", "_sum")))
+    return (sums.groupBy(*keys).agg(parts.alias("_parts"), F.sum("_w").alias("_n"))
+            .select(*keys, F.expr("CAST(coalesce(_n, 0) AS BIGINT)").alias("n"),
+                    put_together("_parts", "_n").alias(out)))

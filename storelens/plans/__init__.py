@@ -32,6 +32,7 @@ from storelens.plans.marts import (
 )
 from storelens.plans.pipeline import run_pipeline
 from storelens.plans.reports import (
+    category_ratings,
     sentiment_histogram,
     top_apps_by_reviews,
     top_categories_by_reviews,
@@ -40,7 +41,7 @@ from storelens.plans.reports import (
 from storelens.plans.staging import stg_apps, stg_reviews
 
 __all__ = [
-    "DashboardInputs", "FrameView", "app_view", "category_list", "clean_apps",
+    "DashboardInputs", "FrameView", "app_view", "category_list", "category_ratings", "clean_apps",
     "clean_reviews", "dashboard_frame", "dashboard_panels", "dim_apps", "dim_categories",
     "example_filtered", "example_union", "fact_app_metrics",
     "fact_app_metrics_keyed", "for_category", "frame_view", "kpis", "kpis_by_category",

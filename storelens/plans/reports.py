@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.operators import equal_width_histogram, top_k
+from storelens.operators import equal_width_histogram, exact_mean, top_k
 from storelens.functions.sql import project
 
 
@@ -47,3 +47,9 @@ def top_categories_by_reviews(fact: DataFrame, n: int = 10) -> DataFrame:
                .groupBy("app_category")
                .agg(F.expr("CAST(coalesce(sum(total_reviews), 0L) AS BIGINT)").alias("total_reviews")))
     return top_k(per_cat, n, [F.col("total_reviews").desc_nulls_last()], ties=["app_category"])
+
+
+def category_ratings(stg_apps: DataFrame) -> DataFrame:
+    """Rated listings and their mean rating per category, exact for any ratings."""
+    return exact_mean(stg_apps.where("app_category IS NOT NULL"), ["app_category"], "app_rating",
+                      out="average_rating").withColumnRenamed("n", "listings")

@@ -234,6 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentiment_histogram": _q(lambda m: plans.sentiment_histogram(m.fact)),
     "top_apps_by_reviews": _q(lambda m: plans.top_apps_by_reviews(m.fact, 10)),
     "top_categories_by_reviews": _q(lambda m: plans.top_categories_by_reviews(m.fact, 10)),
+    "category_ratings": _q(lambda m: _r(plans.category_ratings(m.stg_apps), "average_rating")),
     "category_list": _q(lambda m: plans.category_list(m.view("row"))),
     "dq_unique_app_id": _q(lambda m: unique_violations(m.dim_apps, "app_id")),
     "dq_not_null_last_updated": _q(

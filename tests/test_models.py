@@ -2,6 +2,7 @@
 run, safe refresh, warehouse by name, first price, check suite."""
 
 import os
+import random
 from fractions import Fraction
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from storelens import plans
 from storelens.functions import nan_to_null, to_number
-from storelens.operators import has_columns, is_empty, rounded_mean, share_of_total, suite, unique_violations
+from storelens.operators import exact_mean, has_columns, is_empty, rounded_mean, share_of_total, suite, unique_violations
 from storelens.queries import QUERIES, Models
 from storelens.sinks import current_path, land_table, read_current
 from storelens.sinks.versions import POINTER, current_version
@@ -135,6 +136,28 @@ def test_rounded_mean_of_any_doubles(spark, rows):
     assert got == pytest.approx(float(round(mean * 100) / 100), rel=1e-12, abs=0.0051 if abs(mean) < 1e12 else 1)
 
 
+def test_exact_mean_equals_fractions(spark):
+    """Any doubles, any signs and sizes, next to powers of two, in any order."""
+    rng, rows = random.Random(5), []
+    groups = {
+        "huge": [(1e40, 1), (1.0, 5), (-3.5, 2)], "tiny": [(1e-9, 3), (5e-324, 1), (2.2250738585072014e-308, 2)],
+        "cancel": [(-1.7976931348623157e308, 2), (1.7976931348623157e308, 2), (2.5, 1)],
+        "same": [(0.1, 1)] * 10, "zero": [(0.0, 3), (-0.0, 1)], "heavy": [(0.1, 10**12), (0.3, 7)],
+        "edges": [(x * 2.0**k, 1) for k in range(-1000, 1000, 37) for x in (1, -(1 - 2**-53), 1 + 2**-52)],
+        "any": [(rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300), rng.randint(0, 9)) for _ in range(300)]}
+    for g, values in groups.items():
+        rows += [(g, v, w) for v, w in values]
+    odd = [("none", None, 3), ("none", float("nan"), 1), ("tiny", float("inf"), 9), ("same", None, 4), ("light", 1.5, 0)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows + odd, "g string, v double, w long").repartition(7)
+    got = {r.g: (r.n, r["mean"]) for r in exact_mean(df, ["g"], "v", "w").collect()}
+    assert got.pop("none") == got.pop("light") == (0, None)
+    for g, values in groups.items():
+        n = sum(w for _, w in values)
+        assert got[g] == (n, float(sum(Fraction(v) * w for v, w in values) / n)), g
+    assert exact_mean(df.limit(0), ["g"], "v", "w").collect() == []
+
+
 def test_one_huge_rating_does_not_stop_the_kpis(spark):
     raw = {"App": "A", "Category": "C", "Rating": "1e40", "Reviews": "1", "Size": "1M", "Installs": "10+",
            "Type": "Free", "Price": "0", "Content_Rating": "x", "Genres": "g", "Last_Updated": "2018-01-01",
