@@ -9,10 +9,11 @@ where the bracket estimates the negatives' risk; when it turns negative on the
 unlabelled sample, the step ascends it instead of fitting noise.  Features are
 the presence of hashed words; those that separate positives from unlabelled
 texts by at least ``DEVIATIONS`` standard errors are used, so that a long text
-isn't judged by the mass of its rare words.  The classifier is fitted on a
+isn't judged by the mass of its rare words.  How many texts of either kind hold a
+feature is counted over all training rows; only the gradient steps run on a
 bounded sample: at most ``POSITIVES`` and ``UNLABELLED`` texts, those with the
-smallest hash of their id.  The prior is the share of toxic rows among all
-labelled training rows.
+smallest hash of their id, of which the driver gets the used features alone.  The
+prior is the share of toxic rows among all labelled training rows.
 
 Null and empty texts are scored by the intercept alone.  Without positives or
 unlabelled texts, every score is the prior (0 without labels).
@@ -42,15 +43,38 @@ def word_features(column: pa.Array) -> list[np.ndarray]:
     return [np.unique(words[e - c:e]) for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
 
 
-def _features(batches):
+def _holders(batches):
+    """(feature, n): rows of the task that hold the feature; feature ``SPACE``
+    counts all rows."""
+    count = np.zeros(SPACE + 1, np.int64)
     for batch in batches:
         for part in text_slices(batch, "text", 1 << 20):
-            rows = word_features(part.column(1))
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(pa.array(ends),
-                                                          pa.array(np.concatenate(rows)))],
-                names=["positive", "features"])
+            count[:SPACE] += np.bincount(np.concatenate(word_features(part.column(0))), minlength=SPACE)
+            count[SPACE] += part.num_rows
+    some = np.flatnonzero(count)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(count[some])],
+                                     names=["feature", "n"])
+
+
+def holders(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """How many rows of a text column hold each of the ``SPACE`` features, and
+    how many rows there are: ``SPACE`` + 1 sums come to the driver."""
+    sums = map_arrow(texts, _holders, "feature int, n long").groupBy("feature").agg(
+        F.sum("n").alias("n")).toArrow()
+    count = np.zeros(SPACE + 1, np.int64)
+    count[sums["feature"].to_numpy()] = sums["n"].to_numpy()
+    return count[:SPACE], int(count[SPACE])
+
+
+def choose(held_p: np.ndarray, n_p: int, held_u: np.ndarray, n_u: int) -> np.ndarray:
+    """Features that separate the two kinds, in order."""
+    if not n_p or not n_u:
+        return np.empty(0, np.int64)
+    both = (held_p + held_u) / (n_p + n_u)
+    z = np.abs(held_p / n_p - held_u / n_u) / np.sqrt(
+        np.maximum(both * (1 - both), 1e-9) * (1 / n_p + 1 / n_u))
+    chosen = np.argsort(-z, kind="stable")[:MOST_FEATURES]
+    return np.sort(chosen[z[chosen] >= DEVIATIONS])
 
 
 class Model:
@@ -64,41 +88,33 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(g, -500, 500)))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
-    prior = min(max(prior, 0.0), 1.0)
-    empty = np.empty(0, np.int64)
-    if not positive or not unlabelled or not 0 < prior < 1:
-        return Model(empty, empty, float(np.log(max(prior, 1e-12) / max(1 - prior, 1e-12))))
-
-    def rate(rows):
-        return np.bincount(np.concatenate(rows), minlength=SPACE) / len(rows)
-    a, b = rate(positive), rate(unlabelled)
-    both = (a * len(positive) + b * len(unlabelled)) / (len(positive) + len(unlabelled))
-    z = np.abs(a - b) / np.sqrt(np.maximum(both * (1 - both), 1e-9)
-                                * (1 / len(positive) + 1 / len(unlabelled)))
-    chosen = np.argsort(-z, kind="stable")[:MOST_FEATURES]
-    chosen = np.sort(chosen[z[chosen] >= DEVIATIONS])
-
-    def dense(rows):
-        out = np.zeros((len(rows), len(chosen)), np.float32)
-        for i, r in enumerate(rows):
-            out[i, np.searchsorted(chosen, np.intersect1d(r, chosen, assume_unique=True))] = 1
-        return out
-    xp, xu = dense(positive), dense(unlabelled)
+def risk(xp: np.ndarray, xu: np.ndarray, w: np.ndarray, bias: float, prior: float
+         ) -> tuple[float, np.ndarray, np.ndarray]:
+    """The negatives' risk as estimated, its gradient, and the gradient of the
+    positives' risk (of the weights, the bias last)."""
+    # single precision throughout: mixed products would copy the matrices
+    short = w.astype(np.float32)
+    gp, gu = (xp @ short).astype(np.float64) + bias, (xu @ short).astype(np.float64) + bias
+    sp, su = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))
+    negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    back_p, back_u = (sp.astype(np.float32) @ xp).astype(np.float64), \
+        (su.astype(np.float32) @ xu).astype(np.float64)
+    grad_neg = np.append(back_u / len(xu) - prior * back_p / len(xp), su.mean() - prior * sp.mean())
     held = xp.sum(axis=0, dtype=np.float64)
+    grad_pos = prior * np.append((back_p - held) / len(xp), -(1 - sp).mean())
+    return negative, grad_neg, grad_pos
+
+
+def fit(xp: np.ndarray, xu: np.ndarray, chosen: np.ndarray, prior: float) -> Model:
+    """From the samples' rows, 1 where a row holds the chosen feature."""
+    prior = min(max(prior, 0.0), 1.0)
+    if not len(xp) or not len(xu) or not 0 < prior < 1:
+        return Model(np.empty(0, np.int64), np.empty(0),
+                     float(np.log(max(prior, 1e-12) / max(1 - prior, 1e-12))))
     w, bias = np.zeros(len(chosen)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for t in range(1, STEPS + 1):
-        # single precision throughout: mixed products would copy the matrices
-        short = w.astype(np.float32)
-        gp, gu = (xp @ short).astype(np.float64) + bias, (xu @ short).astype(np.float64) + bias
-        sp, su = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        back_p, back_u = (sp.astype(np.float32) @ xp).astype(np.float64), \
-            (su.astype(np.float32) @ xu).astype(np.float64)
-        grad_neg = np.append(back_u / len(xu) - prior * back_p / len(xp),
-                             su.mean() - prior * sp.mean())
-        grad_pos = prior * np.append((back_p - held) / len(xp), -(1 - sp).mean())
+        negative, grad_neg, grad_pos = risk(xp, xu, w, bias, prior)
         grad = grad_pos + grad_neg if negative >= 0 else -grad_neg
         grad[:-1] += PENALTY * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
@@ -116,21 +132,36 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max("y").alias("y")))
     known = marks.join(text.select("id").distinct(), "id", "left_semi")
     prior = known.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
+    toxic = marks.where("y = 1").select("id")
+    held_p, n_p = holders(text.join(toxic, "id", "left_semi").select("text"))
+    held, n = holders(text.select("text"))
+    chosen = choose(held_p, n_p, held - held_p, n - n_p)
+
+    def features(batches):
+        """The positions of the chosen features that a row holds."""
+        for batch in batches:
+            for part in text_slices(batch, "text", 1 << 20):
+                rows = [np.flatnonzero(np.isin(chosen, r, assume_unique=True)).astype(np.int32)
+                        for r in word_features(part.column(1))]
+                ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends),
+                                                              pa.array(np.concatenate(rows)))],
+                    names=["positive", "features"])
+
     # ids are picked first; they alone are shuffled, and both samples are bounded
     ids, order = text.select("id").distinct(), (F.xxhash64("id"), F.col("id"))
-    toxic = marks.where("y = 1").select("id")
     picked = (ids.join(toxic, "id", "left_semi").orderBy(*order).limit(POSITIVES)
               .withColumn("positive", F.lit(True))
               .union(ids.join(toxic, "id", "left_anti").orderBy(*order).limit(UNLABELLED)
                      .withColumn("positive", F.lit(False))))
     picked = text.join(F.broadcast(picked), "id").select("positive", "text")
-    rows = map_arrow(picked, _features, "positive boolean, features array<int>").toArrow()
-    positive = rows["positive"].to_numpy()
+    rows = map_arrow(picked, features, "positive boolean, features array<int>").toArrow()
     lists = rows["features"].combine_chunks()
-    flat, ends = lists.flatten().to_numpy(), np.asarray(lists.offsets)
-    parts = [flat[a - ends[0]:b - ends[0]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    return fit([r for r, p in zip(parts, positive, strict=True) if p],
-               [r for r, p in zip(parts, positive, strict=True) if not p], prior)
+    x = np.zeros((len(lists), len(chosen)), np.float32)
+    x[np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = 1
+    positive = rows["positive"].to_numpy()
+    return fit(x[positive], x[~positive], chosen, prior)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
