@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from storelens.llm.common import map_arrow, text_slices, word_hashes
 
-SPACE, POSITIVES, UNLABELLED = 1 << 18, 4000, 12000
+SPACE, POSITIVES, UNLABELLED, MARKS = 1 << 18, 4000, 12000, 1 << 20
 DEVIATIONS, MOST_FEATURES = 5.0, 1024
 STEPS, RATE, PENALTY = 400, 0.05, 1e-3
 _BETWEEN = np.ones(256, bool)
@@ -133,7 +133,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = marks.join(text.select("id").distinct(), "id", "left_semi")
     prior = known.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
     toxic = marks.where("y = 1").select("id")
-    held_p, n_p = holders(text.join(toxic, "id", "left_semi").select("text"))
+    # only texts whose id shares a mark with a toxic one are shuffled; there are
+    # ``MARKS`` marks at most to broadcast
+    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS)).alias("mark")
+    likely = text.select("*", mark).join(F.broadcast(toxic.select(mark).distinct()), "mark", "left_semi")
+    held_p, n_p = holders(likely.join(toxic, "id", "left_semi").select("text"))
     held, n = holders(text.select("text"))
     chosen = choose(held_p, n_p, held - held_p, n - n_p)
 
