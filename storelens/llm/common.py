@@ -35,6 +35,22 @@ def scratch_noted() -> Iterator[list[str]]:
         _noted.pop()
 
 
+@contextmanager
+def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """What an execution inside the block has shuffled is removed from the
+    executors' disks when it ends: its result is a table by then."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet to the shared checkpoint folder and read
     again: cuts the lineage, survives lost executors, and is one committed
@@ -42,7 +58,8 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = scratch_path(df.sparkSession, name)
     for paths in _noted:
         paths.append(path)
-    df.write.parquet(path)
+    with _shuffle_files_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
