@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -335,6 +336,46 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == plain(a, b)
 
 
+def test_line_profiles_keep_similar():
+    """The count of grams never drops a pair within the edit distance."""
+    rng = random.Random(21)
+    for _ in range(200):
+        a = "".join(rng.choices("abcde ", k=rng.randrange(6, 200)))
+        b = list(a)
+        for _ in range(int(0.1 * len(a))):
+            b[rng.randrange(len(b))] = rng.choice(["", "x", "ab"])
+        b = "".join(b)
+        if line_dedup.similar(a, b):
+            assert line_dedup.possible(line_dedup.profiles([a]), line_dedup.profiles([b]),
+                                       np.array([max(len(a), len(b))]))[0]
+
+
+def test_line_candidates_at_any_batch_size(monkeypatch):
+    """Pairs of small buckets and members of large ones, however rows are cut."""
+    rng = np.random.default_rng(4)
+    key = np.sort(np.concatenate([rng.integers(0, 300, 900), np.full(200, 77)]))
+    rows = sorted(zip(key.tolist(), rng.permutation(len(key)).tolist(), strict=True))
+    key, name = (np.array(x) for x in zip(*rows, strict=True))
+    sim = rng.choice([0, 7, -1], len(key))
+    chars = np.full(len(key), 100)
+    monkeypatch.setattr(line_dedup, "GROUP", 50)
+
+    def run(step, least):
+        monkeypatch.setattr(line_dedup, "ROWS", least)
+        out = set()
+        for batch in line_dedup._candidates(
+                pa.RecordBatch.from_arrays([pa.array(x[i:i + step]) for x in (key, name, chars, sim)],
+                                           names=["key", "class", "chars", "sim"])
+                for i in range(0, len(key), step)):
+            out |= {tuple(r.values()) for r in batch.to_pylist()}
+        return out
+
+    whole = run(len(key), 1 << 16)
+    assert {r[2] for r in whole if r[1] is None} >= {77}
+    for step, least in ((1, 1), (13, 1), (64, 100), (500, 60)):
+        assert run(step, least) == whole
+
+
 def test_line_simhash():
     lines = ["a b c d e", "one two three", "one two three four five six"]
     one = [line_dedup.simhashes([x])[0] for x in lines]
