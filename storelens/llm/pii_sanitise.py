@@ -200,9 +200,9 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs, _ = written(
         near.join(words, "key").groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"))
         .where(f"n_et >= {SUPPORT}"), "pii-pairs")
-    wanted = pairs.select("term").distinct()
+    # every task counts a word for itself, so the counts are summed before they meet the pairs
     by_term = map_arrow(source.select("text"), _document_words, "term string, n long") \
-        .join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
+        .groupBy("term").agg(F.sum("n").alias("n_t"))
     flagged, _ = written(
         pairs.join(by_term, "term")
         .where(f"log2({total}D * n_et / (cast(n_e as double) * n_t))"
