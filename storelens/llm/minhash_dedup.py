@@ -263,15 +263,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # signatures are a function of the set: any member's row is the class's
     classes = (usable.join(rep.select("class_key", F.col("rep").alias("id"), "class"), ["class_key", "id"])
                .dropDuplicates(["class_key"]))
+    # a class is in many buckets: its sketch is kept once and met where a bucket stays open
+    heads, head_path = written(classes.select(F.col("class").alias("id"), "n_shingles", "sketch", "slack"),
+                               "minhash-heads")
     buckets, bucket_path = written(classes.select(
-        F.col("class").alias("id"), "n_shingles", "sketch", "slack", F.explode("bands").alias("key")), "minhash-buckets")
+        F.col("class").alias("id"), F.explode("bands").alias("key")), "minhash-buckets")
 
     # star step
     centres, centre_path = written(
         buckets.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z"))
         .where("a < z").select("key", "a"), "minhash-centres")
-    joined = buckets.select("key", F.col("id").alias("b"), F.col("n_shingles").alias("n_b")) \
-        .join(centres, "key").where("a < b")
+    joined = buckets.select("key", F.col("id").alias("b")).join(centres, "key").where("a < b")
     stars, star_path = written(joined.select("a", "b").distinct(), "minhash-stars")
 
     # full sets, made again for the documents that have a candidate or may get one
@@ -294,13 +296,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                  F.count("*").alias("members"))
         .where("lo < hi").select("key", "members"), "minhash-open")
     left, left_path = written(state.join(open_keys, "key"), "minhash-open-members")
-    more, more_path = written(_small_buckets(left.where(f"members <= {SMALL}")), "minhash-rest")
+    more, more_path = written(
+        _small_buckets(left.where(f"members <= {SMALL}").join(heads, "id")), "minhash-rest")
     extra, extra_path = written(
         _confirm(more.join(stars, ["a", "b"], "left_anti"), sets)
         .union(_large_buckets(left.where(f"members > {SMALL}"), sets)), "minhash-links")
     final, final_path = connected_components(
         extra.union(comp.select("node", "component")))
-    discard(spark, bucket_path, centre_path, star_path, set_path, link_path, state_path, open_path,
+    discard(spark, head_path, bucket_path, centre_path, star_path, set_path, link_path, state_path, open_path,
             left_path, more_path, extra_path, comp_path)
 
     grouped, _ = written(rep.join(final, rep["class"] == final["node"], "left").select(

@@ -1,8 +1,10 @@
 """What is written and joined on the way does not follow the square of a group."""
 
+import random
+
 import pytest
-from storelens.llm import pii_sanitise
-from tests.llm.test_llm import odd_docs
+from storelens.llm import minhash_dedup, pii_sanitise
+from tests.llm.test_llm import check_minhash, odd_docs
 
 
 @pytest.fixture()
@@ -23,6 +25,19 @@ def tables(monkeypatch):
     return note
 
 
+def test_minhash_bucket_rows_hold_names_only(spark, tables):
+    """A class stands in 32 buckets, its sketch in one table."""
+    seen = tables(minhash_dedup)
+    rng, rows = random.Random(33), []
+    words = [f"w{i}" for i in range(500)]
+    for i in range(20):
+        text = rng.choices(words, k=60)
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text[:55] + rng.choices(words, k=2)))]
+    check_minhash(rows, minhash_dedup.near_duplicates(odd_docs(spark, rows)).collect())
+    assert seen["minhash-buckets"][0] == ["id", "key"]
+    assert "sketch" not in seen["minhash-members"][0] and seen["minhash-heads"][1] == 40
+
+
 def test_pii_word_counts_are_summed_before_the_join(spark, tables):
     """Each task has its own count of a word: they meet the pairs as one row."""
     seen = tables(pii_sanitise)
