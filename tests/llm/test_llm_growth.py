@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
-from storelens.llm import minhash_dedup, pii_sanitise
-from tests.llm.test_llm import check_minhash, odd_docs
+from storelens.llm import line_dedup, minhash_dedup, pii_sanitise
+from tests.llm.test_llm import brute_lines, check_minhash, odd_docs
 
 
 @pytest.fixture()
@@ -25,6 +26,39 @@ def tables(monkeypatch):
     return note
 
 
+def test_line_pairs_of_one_template_stay_in_their_block(spark, tables):
+    """Lines that share over half their text, and few that are similar."""
+    seen = tables(line_dedup)
+    rng, rows = random.Random(31), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    template = "".join(rng.choices(letters, k=100))
+    for i in range(100):
+        own = "".join(rng.choices(letters, k=50))
+        rows.append((i, f"{template}{own}"))
+        if i % 10 == 0:
+            rows.append((1000 + i, f"{template[:40]}{template[42:]}{own}"))
+    got = {r.doc_id: r.removed_lines for r in line_dedup.dedup_lines(odd_docs(spark, rows)).collect()}
+    want = brute_lines(rows)
+    assert got == want and sum(map(len, want.values())) == 10
+    assert seen["line-rest"][1] < 400  # 203; 3,965 before blocks compared counts of grams
+
+
+def test_line_short_profiles_keep_similar():
+    """Counts of one byte drop no pair within the edit distance."""
+    rng, kept = random.Random(32), 0
+    for _ in range(300):
+        a = "".join(rng.choices(rng.choice(["ab", "abcdefgh "]), k=rng.choice([6, 12, 60, 400, 3000])))
+        b = list(a)
+        for _ in range(int(0.09 * len(a))):
+            b[rng.randrange(len(b))] = rng.choice(["", "x", "ab"])
+        b = "".join(b)
+        if line_dedup.similar(a, b):
+            one, two = line_dedup.short_profiles([a, b])
+            assert line_dedup.shortly_possible(one, two, np.array([max(len(a), len(b))]))[0]
+            kept += 1
+    assert kept > 50
+
+
 def test_minhash_bucket_rows_hold_names_only(spark, tables):
     """A class stands in 32 buckets, its sketch in one table."""
     seen = tables(minhash_dedup)
