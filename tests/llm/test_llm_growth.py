@@ -59,6 +59,42 @@ def test_line_short_profiles_keep_similar():
     assert kept > 50
 
 
+def test_line_links_of_open_buckets_join(spark, monkeypatch, tables):
+    """Tiles give links that join, not the pairs of a bucket, and join every similar line."""
+    monkeypatch.setattr(line_dedup, "GROUP", 8)
+    monkeypatch.setattr(line_dedup, "BLOCK", 16)
+    seen = tables(line_dedup)
+    rng, rows = random.Random(34), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    template = "".join(rng.choices(letters, k=90))
+    for i in range(12):
+        own = "".join(rng.choices(letters, k=20))
+        rows += [(100 * i + k, f"{template}{own}{x}") for k, x in enumerate(["", "z", "zy", "zyx"])]
+        rows.append((100 * i + 50, template + own[:13] + "".join(rng.choices(letters, k=7))))
+    got = {r.doc_id: r.removed_lines for r in line_dedup.dedup_lines(odd_docs(spark, rows)).collect()}
+    assert got == brute_lines(rows) and sum(map(len, got.values())) >= 36
+    assert seen["line-rest"][1] < len(rows)  # 1,543 before texts were compared in the tiles
+
+
+def test_line_pairs_at_once_equal_one_by_one(monkeypatch):
+    """Edit similarity of many pairs by bit vectors of one word and of several."""
+    monkeypatch.setattr(line_dedup, "FEW", 1)
+    rng, lines = random.Random(35), ["", "", "abcdef", "abcdef"]
+    for _ in range(400):
+        letters = rng.choice(["ab", "abcde ", "abcdefghijklmnop ", "éàü日本"])
+        a = rng.choices(letters, k=rng.choice([6, 12, 60, 200, 639, 640, 700, 1300]))
+        b = list(a)
+        for _ in range(int(rng.choice([0.02, 0.08, 0.1, 0.12]) * len(a))):
+            b[rng.randrange(len(b))] = rng.choice(["", "x", letters[:2], letters[0]])
+        cut = rng.choice([0, 0, rng.randrange(len(a) // 6)])
+        lines += ["".join(a), "".join(b[cut:] + b[:cut] if rng.random() < 0.5 else b[cut:])]
+    i, j = np.arange(0, len(lines), 2), np.arange(1, len(lines), 2)
+    want = [line_dedup.similar(x, y) for x, y in zip(lines[::2], lines[1::2], strict=True)]
+    assert line_dedup.similar_pairs(lines, i, j).tolist() == want
+    assert line_dedup.similar_pairs(lines, j, i).tolist() == want and 100 < sum(want) < 350
+    assert set(np.flatnonzero(want)) <= set(line_dedup.possible_pairs(lines, i, j).tolist())
+
+
 def test_minhash_bucket_rows_hold_names_only(spark, tables):
     """A class stands in 32 buckets, its sketch in one table."""
     seen = tables(minhash_dedup)
