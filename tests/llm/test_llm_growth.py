@@ -76,6 +76,31 @@ def test_line_links_of_open_buckets_join(spark, monkeypatch, tables):
     assert seen["line-rest"][1] < len(rows)  # 1,543 before texts were compared in the tiles
 
 
+def test_line_shuffles_go_through_in_passes(spark, monkeypatch):
+    """What is shuffled goes in shares, rows wait for no UDF, and every line is compared."""
+    monkeypatch.setattr(line_dedup, "GROUP", 8)
+    monkeypatch.setattr(line_dedup, "PASSES", 20)
+    monkeypatch.setattr(line_dedup, "PASS_BYTES", 8000)
+    plain, names, plans = line_dedup.written, [], []
+
+    def written(df, name):
+        names.append(name)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+    monkeypatch.setattr(line_dedup, "written", written)
+    rng, rows = random.Random(36), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    template = "".join(rng.choices(letters, k=90))
+    for i in range(12):
+        own = "".join(rng.choices(letters, k=20))
+        rows += [(10 * i + k, f"{template}{own}{x}\nplain line {own}") for k, x in enumerate(["", "z", "zy"])]
+    got = {r.doc_id: r.removed_lines for r in line_dedup.dedup_lines(odd_docs(spark, rows)).collect()}
+    assert got == brute_lines(rows) and sum(map(len, got.values())) >= 48
+    for name in ("line-classes", "line-found", "line-links", "line-partners"):
+        assert names.count(name) > 1, name
+    assert not any("ArrowEvalPython" in p for p in plans)
+
+
 def test_line_pairs_at_once_equal_one_by_one(monkeypatch):
     """Edit similarity of many pairs by bit vectors of one word and of several."""
     monkeypatch.setattr(line_dedup, "FEW", 1)
